@@ -14,13 +14,20 @@ _ENVELOPE = (
 )
 
 
+def _open(log: DataFrame, shape: str) -> DataFrame:
+    """The log with the parsed parts of ``value`` as columns; unreadable text yields nulls.
+
+    Parsing sits in a generator, which filters are not moved below: a filter on a parsed
+    field would otherwise be rewritten to parse the text a second time.
+    """
+    parsed = F.from_json("value", shape, {"columnNameOfCorruptRecord": "_bad"})
+    return log.select("*", F.inline(F.array(parsed)))
+
+
 def decode(log: DataFrame) -> DataFrame:
-    """Log records with the envelope parsed once; unreadable text yields null fields."""
-    parsed = log.withColumn(
-        "_e", F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": "_bad"})
-    )
-    payload = F.col("_e.payload")
-    return parsed.select(
+    """Log records with the envelope parsed once."""
+    payload = F.col("payload")
+    return _open(log, _ENVELOPE).select(
         "topic",
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
@@ -33,7 +40,7 @@ def decode(log: DataFrame) -> DataFrame:
         payload["before"].alias("before"),
         payload["after"].alias("after"),
         payload.isNotNull().alias("has_payload"),
-        F.col("_e._bad").alias("unreadable"),
+        F.col("_bad").alias("unreadable"),
     )
 
 
@@ -115,9 +122,9 @@ def images(log: DataFrame, fields: str) -> DataFrame:
         f"payload struct<op:string, before:struct<{fields}>, after:struct<{fields}>, "
         "ts_ms:string, source:struct<lsn:string, ts_ms:string>>"
     )
-    payload = F.col("_e.payload")
+    payload = F.col("payload")
     return (
-        log.withColumn("_e", F.from_json("value", shape))
+        _open(log, shape)
         .where(payload.isNotNull())
         .select(
             "topic",
@@ -134,6 +141,18 @@ def images(log: DataFrame, fields: str) -> DataFrame:
     )
 
 
+def commit_times(log: DataFrame) -> DataFrame:
+    """Topic, operation and commit time of every change, the rest left unread."""
+    payload = F.col("payload")
+    return _open(log, "payload struct<op:string, ts_ms:string, source:struct<ts_ms:string>>").select(
+        "topic",
+        payload["op"].alias("op"),
+        F.coalesce(
+            payload["source"]["ts_ms"].try_cast("bigint"), payload["ts_ms"].try_cast("bigint")
+        ).alias("ts_ms"),
+    )
+
+
 def drop_redelivered(log: DataFrame) -> DataFrame:
     """One record per change: a connector redelivers the same text at a new offset.
 

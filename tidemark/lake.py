@@ -23,7 +23,7 @@ class Lake:
         self.root = scratch(spark, "lake")
         self.prefix = f"tidemark_{self.root[-8:]}_"
         self._lines: DataFrame | None = None
-        self._logs: dict[str, str] = {}
+        self._landed: set[str] = set()
         self._bronze: dict[str, str] = {}
         self.built: dict[str, DataFrame] | None = None
 
@@ -35,15 +35,17 @@ class Lake:
             return build(self._lines)
         return getattr(changelog, f"{topic}_log")(self.spark, self.folder)
 
-    def log_path(self, topic: str) -> str:
-        if topic not in self._logs:
-            path = f"{self.root}/log/{topic}"
-            write_log(self._derive(topic), path)
-            self._logs[topic] = path
-        return self._logs[topic]
+    def log_path(self, *topics: str) -> str:
+        """The log folder, with the topics asked for landed in it."""
+        path = f"{self.root}/log"
+        for topic in topics:
+            if topic not in self._landed:
+                write_log(self._derive(topic), path)
+                self._landed.add(topic)
+        return path
 
     def log(self, topic: str) -> DataFrame:
-        return read_log(self.spark, self.log_path(topic))
+        return read_log(self.spark, self.log_path(topic), [topic])
 
     def bronze(self, entity: str) -> DataFrame:
         if entity not in self._bronze:

@@ -86,32 +86,36 @@ _PARTS = {
         WHERE so.status IN {_REVENUE} AND NOT so.is_deleted AND NOT ci.is_deleted GROUP BY 1)""",
     # Signed deltas of the live metrics.
     "dl": f"""dl AS (
-        SELECT 'orders_total' AS metric, '' AS key, CAST(1 AS DECIMAL(14,2)) AS delta FROM ev WHERE op = 'c'
-        UNION ALL SELECT 'orders_status', st, 1 FROM ev WHERE op = 'c'
-        UNION ALL SELECT 'orders_status', st, 1 FROM ev WHERE op = 'u'
-        UNION ALL SELECT 'orders_status', old_st, -1 FROM ev WHERE op IN ('u', 'd')
-        UNION ALL SELECT 'revenue_net', '', amount FROM ev
+        SELECT 'orders_total' AS metric, '' AS key, CAST(1 AS DECIMAL(14,2)) AS delta, ts_ms FROM ev WHERE op = 'c'
+        UNION ALL SELECT 'orders_status', st, 1, ts_ms FROM ev WHERE op = 'c'
+        UNION ALL SELECT 'orders_status', st, 1, ts_ms FROM ev WHERE op = 'u'
+        UNION ALL SELECT 'orders_status', old_st, -1, ts_ms FROM ev WHERE op IN ('u', 'd')
+        UNION ALL SELECT 'revenue_net', '', amount, ts_ms FROM ev
             WHERE op = 'u' AND st IN {_REVENUE} AND old_st NOT IN {_REVENUE}
-        UNION ALL SELECT 'revenue_net', '', -amount FROM ev
+        UNION ALL SELECT 'revenue_net', '', -amount, ts_ms FROM ev
             WHERE op = 'u' AND st NOT IN {_REVENUE} AND old_st IN {_REVENUE})""",
-    "sums": "sums AS (SELECT metric, key, CAST(sum(delta) AS DECIMAL(38,2)) AS value FROM dl GROUP BY 1, 2)",
+    "sums": """sums AS (
+        SELECT metric, key, CAST(sum(delta) AS DECIMAL(38,2)) AS value, max(ts_ms) AS newest_ms
+        FROM dl GROUP BY 1, 2)""",
     "city": """city AS (
-        SELECT CASE WHEN su.is_deleted THEN 'Unknown' ELSE su.city END AS city, count(*) AS n
+        SELECT CASE WHEN su.is_deleted THEN 'Unknown' ELSE su.city END AS city, count(*) AS n,
+            max(created_ms) AS newest_ms
         FROM ord JOIN su USING (user_id) GROUP BY 1)""",
     "seen": """seen AS (
-        SELECT count(*) AS n, max(ts_ms) AS ts_ms FROM (
-            SELECT ts_ms FROM ev
-            UNION ALL SELECT ts_ms FROM si
-            UNION ALL SELECT ts_ms + 86400000 FROM si WHERE is_deleted
-            UNION ALL SELECT 788918400000 FROM customer
-            UNION ALL SELECT 788918400000 + (c_custkey % 2000 + 1) * 86400000 FROM customer
+        SELECT topic, count(*) AS n, max(ts_ms) AS ts_ms FROM (
+            SELECT 'orders' AS topic, ts_ms FROM ev
+            UNION ALL SELECT 'order_items', ts_ms FROM si
+            UNION ALL SELECT 'order_items', ts_ms + 86400000 FROM si WHERE is_deleted
+            UNION ALL SELECT 'users', 788918400000 FROM customer
+            UNION ALL SELECT 'users', 788918400000 + (c_custkey % 2000 + 1) * 86400000 FROM customer
                 WHERE c_custkey % 10 = 4 OR c_custkey % 50 = 9
-            UNION ALL SELECT 788918400000 FROM part
-            UNION ALL SELECT 788918400000 + (p_partkey % 2000 + 1) * 86400000 FROM part WHERE p_partkey % 40 = 7))""",
+            UNION ALL SELECT 'products', 788918400000 FROM part
+            UNION ALL SELECT 'products', 788918400000 + (p_partkey % 2000 + 1) * 86400000 FROM part WHERE p_partkey % 40 = 7)
+        GROUP BY 1)""",
     "met": """met AS (
-        SELECT metric, key, value FROM sums
-        UNION ALL SELECT 'orders_by_city', city, CAST(n AS DECIMAL(38,2)) FROM city
-        UNION ALL SELECT 'events_processed', '', CAST(n AS DECIMAL(38,2)) FROM seen)""",
+        SELECT metric, key, value, newest_ms FROM sums
+        UNION ALL SELECT 'orders_by_city', city, CAST(n AS DECIMAL(38,2)), newest_ms FROM city
+        UNION ALL SELECT 'events_processed', topic, CAST(n AS DECIMAL(38,2)), ts_ms FROM seen)""",
     "mi": """mi AS (
         SELECT date_trunc('minute', make_timestamp(ts_ms * 1000)) AS minute, product_id,
             CAST(sum(quantity) AS BIGINT) AS units
@@ -158,7 +162,7 @@ def _sql(body: str, *needs: str) -> str:
     return (f"WITH {', '.join(_PARTS[p] for p in order)} " if order else "") + body
 
 
-_METRIC_ROWS = "SELECT metric, key, value FROM met"
+_METRIC_ROWS = "SELECT metric, key, value, newest_ms FROM met"
 _ALERTS = """SELECT product_id, stock_qty, CAST(10 AS INTEGER) AS threshold, make_timestamp(ts_ms * 1000) AS alert_time
     FROM fall WHERE stock_qty < 10 AND (before_qty IS NULL OR before_qty >= 10)"""
 _STAGED_ORDERS = "SELECT order_id, user_id, status, total_amount, created_at, is_deleted FROM so"
@@ -326,13 +330,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_custkey, city FROM (SELECT c_custkey, (c_custkey * 7919) % (SELECT sum(pop) FROM w) AS pick FROM customer)
             LEFT JOIN b ON pick >= lo AND pick < hi""",
         "live_metrics": _sql(_METRIC_ROWS, "met"),
-        "live_metrics_redelivered": _sql("SELECT metric, key, value FROM sums", "sums"),
-        "live_metrics_stream": _sql(
+        "live_metrics_redelivered": _sql(
             """SELECT metric, key, value FROM sums
-            UNION ALL SELECT 'orders_by_city', city, CAST(n AS DECIMAL(38,2)) FROM city
-            UNION ALL SELECT 'events_processed', '', CAST(count(*) AS DECIMAL(38,2)) FROM ev""",
-            "sums", "city",
+            UNION ALL SELECT 'events_processed', topic, CAST(n AS DECIMAL(38,2)) FROM seen WHERE topic = 'orders'""",
+            "sums", "seen",
         ),
+        "live_metrics_stream": _sql(_METRIC_ROWS, "met"),
         "live_order_total": _sql("SELECT count(*) AS orders_total FROM ord", "ord"),
         "live_status_counts": _sql(
             "SELECT key AS status, CAST(value AS BIGINT) AS n FROM sums WHERE metric = 'orders_status'", "sums"
@@ -340,7 +343,9 @@ def oracle_sql() -> dict[str, str]:
         "live_net_revenue": _sql("SELECT value AS revenue_net FROM sums WHERE metric = 'revenue_net'", "sums"),
         "live_orders_by_city": _sql("SELECT city, n FROM city ORDER BY n DESC, city", "city"),
         "live_events_processed": _sql(
-            "SELECT n AS events_processed, make_timestamp(ts_ms * 1000) AS updated_at FROM seen", "seen"
+            """SELECT CAST(sum(n) AS BIGINT) AS events_processed, make_timestamp(max(ts_ms) * 1000) AS updated_at
+            FROM seen""",
+            "seen",
         ),
         "dim_user_city": _sql("SELECT user_id, city FROM su WHERE NOT is_deleted", "su"),
         "dim_product_name": _sql("SELECT product_id, name FROM sp", "sp"),
@@ -374,7 +379,7 @@ def oracle_sql() -> dict[str, str]:
             """SELECT metric, key, live, batch, CAST(live - batch AS DECIMAL(38,2)) AS drift FROM (
                 SELECT coalesce(l.metric, b.metric) AS metric, coalesce(l.key, b.key) AS key,
                     CAST(coalesce(l.value, 0) AS DECIMAL(38,2)) AS live, CAST(coalesce(b.value, 0) AS DECIMAL(38,2)) AS batch
-                FROM (SELECT * FROM sums WHERE metric <> 'orders_total') l FULL JOIN (
+                FROM (SELECT metric, key, value FROM sums WHERE metric <> 'orders_total') l FULL JOIN (
                     SELECT 'orders_status' AS metric, status AS key, CAST(count(*) AS DECIMAL(38,2)) AS value
                     FROM co WHERE NOT is_deleted GROUP BY 2
                     UNION ALL SELECT 'revenue_net', '', CAST(sum(paid_amount) AS DECIMAL(38,2)) FROM co WHERE NOT is_deleted) b

@@ -16,7 +16,7 @@ from tidemark.domain import (
     TRENDING_MINUTES,
 )
 from tidemark.functions.columns import event_minute, event_time, is_revenue, or_default, percent
-from tidemark.functions.envelope import images
+from tidemark.functions.envelope import commit_times, images
 
 ORDER_IMAGE = "order_id:string, user_id:string, status:string, total_amount:string"
 ITEM_IMAGE = "order_item_id:string, product_id:string, quantity:string"
@@ -49,14 +49,20 @@ def _delta(metric: str, key: Column, change: Column, when: Column) -> Column:
     return F.when(when, row)
 
 
+def _counted() -> Column:
+    """A change with an operation or a time was sent by the source, whatever it holds."""
+    return F.coalesce(F.col("op"), F.col("ts_ms").cast("string")).isNotNull()
+
+
 def order_deltas(changes: DataFrame) -> DataFrame:
-    """(metric, key, delta) rows of order changes.
+    """(metric, key, delta, ts_ms) rows of order changes.
 
     * an order is counted once, when it is created or read in a snapshot;
     * a status moves one from the old to the new value, if both are known and differ;
     * revenue is added on entry into a revenue status and taken back on leaving it, by
       the new image's amount; a delete takes back the old image's amount;
-    * with no before image the old status is unknown: no status moves, revenue is added.
+    * with no before image the old status is unknown: no status moves, revenue is added;
+    * any change at all counts as an event of its topic.
     """
     op, before, after = F.col("op"), F.col("before"), F.col("after")
     created = op.isin(*CREATE_OPS) & _present(after)
@@ -73,6 +79,7 @@ def order_deltas(changes: DataFrame) -> DataFrame:
     one, none = F.lit(1), F.lit("")
 
     deltas = F.array(
+        _delta(EVENTS, F.col("topic"), one, _counted()),
         _delta(TOTAL, none, one, created),
         _delta(STATUS, first, one, created),
         _delta(BY_USER, F.coalesce(after["user_id"], none), one, created),
@@ -84,12 +91,29 @@ def order_deltas(changes: DataFrame) -> DataFrame:
         _delta(STATUS, old, -one, deleted & old.isNotNull()),
         _delta(REVENUE, none, -amount(before), deleted & is_revenue(old)),
     )
-    return changes.select(F.explode(F.filter(deltas, lambda d: d.isNotNull())).alias("d")).select("d.*")
+    found = F.filter(deltas, lambda d: d.isNotNull())
+    return changes.select("ts_ms", F.explode(found).alias("d")).select("d.*", "ts_ms")
+
+
+def event_deltas(log: DataFrame) -> DataFrame:
+    """The event counts alone, for topics that feed no other metric."""
+    return commit_times(log).where(_counted()).select(
+        F.lit(EVENTS).alias("metric"), F.col("topic").alias("key"), F.lit(1).cast("decimal(14,2)").alias("delta"), "ts_ms"
+    )
 
 
 def sum_deltas(deltas: DataFrame) -> DataFrame:
     """The metric table. Partial sums before the shuffle make hot metrics cheap."""
-    return deltas.groupBy("metric", "key").agg(F.sum("delta").cast(MONEY).alias("value"))
+    return deltas.groupBy("metric", "key").agg(
+        F.sum("delta").cast(MONEY).alias("value"), F.max("ts_ms").alias("newest_ms")
+    )
+
+
+def merge_sums(sums: DataFrame) -> DataFrame:
+    """One metric table out of several stacked ones."""
+    return sums.groupBy("metric", "key").agg(
+        F.sum("value").cast(MONEY).alias("value"), F.max("newest_ms").alias("newest_ms")
+    )
 
 
 def order_total(changes: DataFrame) -> DataFrame:
@@ -132,49 +156,41 @@ def by_city(metrics: DataFrame, cities: DataFrame) -> DataFrame:
     Counting per user first means the join sees one row per customer, not per order.
     """
     per_user = metrics.where(F.col("metric") == BY_USER).select(
-        F.col("key").try_cast("bigint").alias("user_id"), "value"
+        F.col("key").try_cast("bigint").alias("user_id"), "value", "newest_ms"
     )
     city = F.coalesce("city", F.lit(DEFAULT_CITY))
     return (
         per_user.join(cities, "user_id", "left")
         .groupBy(city.alias("city"))
-        .agg(F.sum("value").cast("bigint").alias("n"))
-    )
-
-
-def events_processed(logs: DataFrame) -> DataFrame:
-    """Changes seen and the commit time of the newest, over all topics given."""
-    shape = "payload struct<op:string, before:string, after:string, ts_ms:string, source:struct<ts_ms:string>>"
-    payload = F.from_json("value", shape)["payload"]
-    seen = logs.select(payload.alias("p")).where(
-        F.coalesce("p.op", "p.before", "p.after", "p.ts_ms", "p.source.ts_ms").isNotNull()
-    )
-    ts_ms = F.coalesce(
-        F.col("p.source.ts_ms").try_cast("bigint"), F.col("p.ts_ms").try_cast("bigint")
-    )
-    return seen.agg(
-        F.count(F.lit(1)).alias("events_processed"), event_time(F.max(ts_ms)).alias("updated_at")
+        .agg(F.sum("value").cast("bigint").alias("n"), F.max("newest_ms").alias("newest_ms"))
     )
 
 
 def with_cities(sums: DataFrame, cities: DataFrame) -> DataFrame:
     """The metric table with per-user counts turned into per-city counts."""
     per_city = by_city(sums, cities).select(
-        F.lit(BY_CITY).alias("metric"), F.col("city").alias("key"), F.col("n").cast(MONEY).alias("value")
+        F.lit(BY_CITY).alias("metric"), F.col("city").alias("key"), F.col("n").cast(MONEY).alias("value"), "newest_ms"
     )
     return sums.where(F.col("metric") != BY_USER).unionByName(per_city)
 
 
-def event_count(logs: DataFrame) -> DataFrame:
-    return events_processed(logs).select(
-        F.lit(EVENTS).alias("metric"), F.lit("").alias("key"), F.col("events_processed").cast(MONEY).alias("value")
+def live_metrics(order_log: DataFrame, other_logs: DataFrame, users: DataFrame) -> DataFrame:
+    """The whole metric table (metric, key, value, newest_ms), each log read once."""
+    deltas = order_deltas(order_changes(order_log)).unionByName(event_deltas(other_logs))
+    return with_cities(sum_deltas(deltas), user_city(users))
+
+
+def events_processed(metrics: DataFrame) -> DataFrame:
+    """Changes seen over all topics, and the commit time of the newest."""
+    return metrics.where(F.col("metric") == EVENTS).agg(
+        F.sum("value").cast("bigint").alias("events_processed"), event_time(F.max("newest_ms")).alias("updated_at")
     )
 
 
-def live_metrics(order_log: DataFrame, other_logs: DataFrame, users: DataFrame) -> DataFrame:
-    """The whole metric table (metric, key, value)."""
-    sums = sum_deltas(order_deltas(order_changes(order_log)))
-    return with_cities(sums, user_city(users)).unionByName(event_count(order_log.unionByName(other_logs)))
+def last_minute(metrics: DataFrame) -> DataFrame:
+    """The newest event minute of orders and lines, the anchor of the trending window."""
+    facts = (F.col("metric") == EVENTS) & F.col("key").isin("orders", "order_items")
+    return metrics.where(facts).agg(event_minute(F.max("newest_ms")).alias("minute"))
 
 
 def sales(changes: DataFrame) -> DataFrame:
@@ -197,15 +213,6 @@ def trending_minute(changes: DataFrame) -> DataFrame:
     )
 
 
-def last_minute(*change_sets: DataFrame) -> DataFrame:
-    """The newest event minute, the anchor of the trending window."""
-    newest = [c.agg(F.max("ts_ms").alias("ts_ms")) for c in change_sets]
-    union = newest[0]
-    for other in newest[1:]:
-        union = union.unionByName(other)
-    return union.agg(event_minute(F.max("ts_ms")).alias("minute"))
-
-
 def trending_top(
     minutes: DataFrame, anchor: DataFrame, names: DataFrame, window: int = TRENDING_MINUTES, k: int = 10
 ) -> DataFrame:

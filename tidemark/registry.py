@@ -259,11 +259,15 @@ def _minutes(at: Lake) -> DataFrame:
     return live.trending_minute(live.item_changes(at.log("order_items")))
 
 
-def _top(at: Lake) -> DataFrame:
-    anchor = live.last_minute(
-        live.order_changes(at.log("orders")), live.item_changes(at.log("order_items"))
-    )
-    return live.trending_top(_minutes(at), anchor, live.product_name(at.stage("products")))
+def _event_sums(at: Lake, *topics: str) -> DataFrame:
+    logs = at.log(topics[0])
+    for topic in topics[1:]:
+        logs = logs.unionByName(at.log(topic))
+    return live.sum_deltas(live.event_deltas(logs))
+
+
+def _top(at: Lake, metrics: DataFrame) -> DataFrame:
+    return live.trending_top(_minutes(at), live.last_minute(metrics), live.product_name(at.stage("products")))
 
 
 @query
@@ -276,7 +280,7 @@ def live_metrics_redelivered(at: Lake) -> DataFrame:
     """The order metrics from a log with repeated records, each counted once."""
     log = drop_redelivered(changelog.redelivered(at.log("orders")))
     sums = live.sum_deltas(live.order_deltas(live.order_changes(log)))
-    return sums.where(F.col("metric") != live.BY_USER)
+    return sums.where(F.col("metric") != live.BY_USER).drop("newest_ms")
 
 
 @query
@@ -297,12 +301,12 @@ def live_net_revenue(at: Lake) -> DataFrame:
 @query
 def live_orders_by_city(at: Lake) -> DataFrame:
     cities = live.user_city(at.stage("users"))
-    return live.by_city(_order_sums(at), cities).orderBy(F.desc("n"), "city")
+    return live.by_city(_order_sums(at), cities).select("city", "n").orderBy(F.desc("n"), "city")
 
 
 @query
 def live_events_processed(at: Lake) -> DataFrame:
-    return live.events_processed(at.log("orders").unionByName(_other_logs(at)))
+    return live.events_processed(_event_sums(at, *KEYS))
 
 
 @query
@@ -342,7 +346,7 @@ def trending_minute(at: Lake) -> DataFrame:
 
 @query
 def trending_top(at: Lake) -> DataFrame:
-    return _top(at)
+    return _top(at, _event_sums(at, "orders", "order_items"))
 
 
 @query
@@ -352,7 +356,8 @@ def trending_sliding(at: Lake) -> DataFrame:
 
 @query
 def live_summary(at: Lake) -> DataFrame:
-    return live.live_summary(_metrics(at), _top(at))
+    metrics = _metrics(at)
+    return live.live_summary(metrics, _top(at, metrics))
 
 
 @query
@@ -371,7 +376,7 @@ def stock_alerts(at: Lake) -> DataFrame:
 @query
 def bronze_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    logs = {entity: read_log(at.spark, at.log_path(entity), streaming=True) for entity in KEYS}
+    logs = {entity: read_log(at.spark, at.log_path(entity), topics=[entity], streaming=True) for entity in KEYS}
     finish(*jobs.ingest(logs, root, every=None))
     counts = [
         jobs.read_bronze(at.spark, root, entity)
@@ -389,7 +394,7 @@ def bronze_stream(at: Lake) -> DataFrame:
 @query
 def live_metrics_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path("orders"), streaming=True)
+    log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True)
     finish(jobs.live_counters(log, lambda: at.stage("users"), root, every=None))
     return jobs.read_metrics(at.spark, root)
 
@@ -397,7 +402,7 @@ def live_metrics_stream(at: Lake) -> DataFrame:
 @query
 def trending_minute_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path("order_items"), streaming=True)
+    log = read_log(at.spark, at.log_path("order_items"), topics=["order_items"], streaming=True)
     finish(jobs.trending_minutes(log, root, every=None, mode="complete"))
     return read_newest(at.spark, f"{root}/minutes", jobs.MINUTE_SCHEMA)
 
@@ -405,7 +410,7 @@ def trending_minute_stream(at: Lake) -> DataFrame:
 @query
 def stock_alerts_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path(INVENTORY), streaming=True)
+    log = read_log(at.spark, at.log_path(INVENTORY), topics=[INVENTORY], streaming=True)
     at.spark.conf.set("spark.sql.streaming.stateStore.providerClass", alert_stream.ROCKSDB)
     finish(alert_stream.raise_alerts(log, root, every=None))
     return read_appended(at.spark, f"{root}/ops/stock_alerts", alert_stream.ALERT_SCHEMA)

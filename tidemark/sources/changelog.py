@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.domain import INVENTORY
 from tidemark.operators.scans import running_sum
 from tidemark.session import scratch
-from tidemark.sources.tables import epoch_ms, read_table
+from tidemark.sources.tables import epoch_ms, read_table, spread
 
 # Lifecycle paths by order key modulo 100, as half-open bands.
 PATHS = (
@@ -51,9 +51,9 @@ def lifecycle(key: str) -> Column:
     return F.slice(path, F.lit(1), kept)
 
 
-def is_cleaned_up(key: str) -> Column:
+def is_cleaned_up(key: str, path: Column) -> Column:
     """Whether the order, with its lines, is deleted after its last hop."""
-    last = F.element_at(lifecycle(key), -1)
+    last = F.element_at(path, -1)
     return (F.pmod(F.col(key), F.lit(20)) == 3) & last.isin("CANCELLED", "REFUNDED")
 
 
@@ -82,10 +82,7 @@ def _utc(column: str) -> Column:
 
 def orders_log(spark: SparkSession, folder: str) -> DataFrame:
     """One create per order, one update per further hop, at times a final delete."""
-    # A log is keyed by row: an order's records lie together, and files get even sizes
-    # (a rebalance also splits what is too large). Moved before it fans out into JSON.
-    table = read_table(spark, folder, "orders").hint("rebalance", "o_orderkey")
-    orders = table.select(
+    orders = spread(read_table(spark, folder, "orders")).select(
         "o_orderkey",
         "o_custkey",
         F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
@@ -93,9 +90,9 @@ def orders_log(spark: SparkSession, folder: str) -> DataFrame:
         epoch_ms("o_orderdate").alias("created_ms"),
         "o_orderpriority",
         lifecycle("o_orderkey").alias("path"),
-        is_cleaned_up("o_orderkey").alias("cleaned"),
     )
-    steps = F.size("path") + F.when(F.col("cleaned"), 1).otherwise(0)
+    cleaned = is_cleaned_up("o_orderkey", F.col("path"))
+    steps = F.size("path") + F.when(cleaned, 1).otherwise(0)
     hops = orders.withColumn("hop", F.explode(F.sequence(F.lit(0), steps - 1)))
 
     def image(hop: Column) -> Column:
@@ -249,7 +246,8 @@ def _line_ms() -> Column:
 
 def order_items_log(lines: DataFrame) -> DataFrame:
     """A create per line, and a delete for the lines of cleaned-up orders."""
-    ops = F.when(is_cleaned_up("l_orderkey"), F.array(F.lit("c"), F.lit("d"))).otherwise(F.array(F.lit("c")))
+    lines = lines.withColumn("path", lifecycle("l_orderkey"))
+    ops = F.when(is_cleaned_up("l_orderkey", F.col("path")), F.array(F.lit("c"), F.lit("d"))).otherwise(F.array(F.lit("c")))
     changes = lines.withColumn("op", F.explode(ops))
     key = F.col("order_item_id")
     image = F.struct(

@@ -10,5 +10,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table kept in few files, dealt out to all cores before it fans out.
+
+    A table in at least as many files as there are cores is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def epoch_ms(column: str):
     return F.unix_millis(F.col(column).cast("timestamp"))
