@@ -12,7 +12,7 @@ from tidemark.plans import alerts, live
 from tidemark.sources.log import read_log, write_log
 from tidemark.streaming import alerts as alert_stream
 from tidemark.streaming import jobs
-from tidemark.streaming.sinks import append_batch, fold_batch, finish, read_appended, read_newest, run_stream
+from tidemark.streaming.sinks import append_batch, finish, fold_batch, read_appended, read_newest
 
 
 def orders(*statuses, first=0):
@@ -99,15 +99,5 @@ def test_alert_stream_remembers_across_batches(spark, tmp_path):
         write_log(make_log(spark, "inventory", values[part * 30 : part * 30 + 30], first=part * 30), log)
         stream = read_log(spark, log, ["inventory"], streaming=True)
         finish(alert_stream.raise_alerts(stream, root, every=None))
-    found = read_appended(spark, f"{root}/ops/stock_alerts", alert_stream.ALERT_SCHEMA)
+    found = alert_stream.read_alerts(spark, root)
     assert rows(found) == rows(alerts.stock_alerts(alerts.stock_readings(read_log(spark, log, ["inventory"]))))
-
-
-def test_streaming_deduplication(spark, tmp_path):
-    log, out = str(tmp_path / "log"), str(tmp_path / "out")
-    values = orders("PAID", "CREATED")
-    for first in (0, 10):
-        write_log(make_log(spark, "orders", values, first=first), log)
-        stream = jobs.deduplicated(read_log(spark, log, ["orders"], streaming=True))
-        finish(run_stream(stream, append_batch(out), str(tmp_path / "check")))
-    assert spark.read.parquet(out).count() == 2

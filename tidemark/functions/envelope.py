@@ -98,15 +98,16 @@ def quarantine(log: DataFrame, key: str) -> DataFrame:
 def extract(events: DataFrame, fields: dict[str, tuple[str, str]], source: str = "raw_payload") -> DataFrame:
     """Add typed columns read from a JSON column; what does not parse becomes null.
 
-    Top-level paths share one parse of the text, nested paths are read one by one.
+    Top-level paths share one parse of the text (in a generator, see ``_open``), nested
+    paths are read one by one.
     """
     top = {c: path[2:] for c, (path, _) in fields.items() if path[2:].isidentifier()}
-    schema = ", ".join(f"`{name}` string" for name in sorted(set(top.values())))
-    parsed = events.withColumn("_p", F.from_json(source, schema)) if top else events
+    parsed = events
+    if top:
+        shape = ", ".join(f"`{name}` string" for name in sorted(set(top.values())))
+        parsed = events.select("*", F.explode(F.array(F.from_json(source, shape))).alias("_p"))
     typed = [
-        (F.col("_p")[top[c]] if c in top else F.get_json_object(source, path))
-        .try_cast(kind)
-        .alias(c)
+        (F.col("_p")[top[c]] if c in top else F.get_json_object(source, path)).try_cast(kind).alias(c)
         for c, (path, kind) in fields.items()
     ]
     kept = [c for c in events.columns if c not in fields]

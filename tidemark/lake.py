@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.domain import INVENTORY, KEYS
 from tidemark.functions.envelope import envelope
 from tidemark.operators.state import stage
-from tidemark.session import configure, scratch
+from tidemark.session import configure, scratch, size_shuffles
 from tidemark.sources import changelog
 from tidemark.sources.log import read_log, write_log
 
@@ -18,7 +18,7 @@ class Lake:
     """Lands each topic's log and bronze table once; everything above stays lazy."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = configure(spark)
+        self.spark = size_shuffles(configure(spark), folder)
         self.folder = folder
         self.root = scratch(spark, "lake")
         self.prefix = f"tidemark_{self.root[-8:]}_"
@@ -54,8 +54,8 @@ class Lake:
             self._bronze[entity] = path
         return self.spark.read.parquet(self._bronze[entity])
 
-    def stage(self, entity: str) -> DataFrame:
-        return stage(self.bronze(entity), entity)
+    def stage(self, entity: str, *fields: str) -> DataFrame:
+        return stage(self.bronze(entity), entity, *fields)
 
 
 def lake(spark: SparkSession, folder: str) -> Lake:

@@ -35,23 +35,29 @@ def active(df: DataFrame) -> DataFrame:
     return df.where(~F.col("is_deleted"))
 
 
-def entity_state(bronze: DataFrame, entity: str) -> DataFrame:
+def latest_rows(bronze: DataFrame, entity: str) -> DataFrame:
+    """Latest bronze row of every key, its payload unread."""
+    known = bronze.where(known_op(F.col("op"))).drop("kafka_partition")
+    return latest_by_key(known, [KEYS[entity]])
+
+
+def entity_state(bronze: DataFrame, entity: str, *fields: str) -> DataFrame:
     """Latest version of every row of one entity, with its log position.
 
-    Fields are typed below the shuffle so that it moves narrow columns, not JSON text.
+    The payload is read after the ranking: a row's older versions are never parsed, and
+    most do not leave their map task. ``fields`` limits what is read of it.
     """
-    key = KEYS[entity]
-    typed = extract(bronze.where(known_op(F.col("op"))), FIELDS[entity])
-    return latest_by_key(typed.drop("raw_payload", "kafka_partition"), [key])
+    wanted = {name: FIELDS[entity][name] for name in fields or FIELDS[entity]}
+    return extract(latest_rows(bronze, entity), wanted).drop("raw_payload")
 
 
-def staged(state: DataFrame, entity: str) -> DataFrame:
-    return soft_delete(state).select(KEYS[entity], *FIELDS[entity], "is_deleted")
+def staged(state: DataFrame, entity: str, *fields: str) -> DataFrame:
+    return soft_delete(state).select(KEYS[entity], *(fields or FIELDS[entity]), "is_deleted")
 
 
-def stage(bronze: DataFrame, entity: str) -> DataFrame:
+def stage(bronze: DataFrame, entity: str, *fields: str) -> DataFrame:
     """The staging view of one entity: one row per key, deletes flagged."""
-    return staged(entity_state(bronze, entity), entity)
+    return staged(entity_state(bronze, entity, *fields), entity, *fields)
 
 
 def state_as_of(bronze: DataFrame, entity: str, cutoff_ms: int) -> DataFrame:

@@ -37,9 +37,20 @@ def alert_rows(low_readings: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def stock_alerts(readings: DataFrame, threshold: int = LOW_STOCK) -> DataFrame:
-    """One alert per fall below the threshold: low now, and not low one reading before."""
+def falls(readings: DataFrame, threshold: int, memory: DataFrame | None = None) -> DataFrame:
+    """Readings that are low while the one before was not.
+
+    ``memory`` (product_id, was_low) stands in for the reading before a product's first.
+    """
     low = readings.withColumn("is_low", F.col("stock_qty") < threshold)
-    edges = previous(low, "product_id", ["kafka_offset"], "is_low", "was_low")
-    fell = F.col("is_low") & ~F.coalesce("was_low", F.lit(False))
-    return alert_rows(edges.where(fell), threshold)
+    edges = previous(low, "product_id", ["kafka_offset"], "is_low", "low_before")
+    candidates = edges.where(F.col("is_low") & ~F.coalesce("low_before", F.lit(False)))
+    if memory is None:
+        return candidates
+    known = candidates.join(memory, "product_id", "left")
+    return known.where(~F.coalesce("low_before", "was_low", F.lit(False)))
+
+
+def stock_alerts(readings: DataFrame, threshold: int = LOW_STOCK) -> DataFrame:
+    """One alert per fall below the threshold; a product re-arms when it is back above."""
+    return alert_rows(falls(readings, threshold), threshold)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import event_time, percent
 from tidemark.functions.envelope import extract
 from tidemark.operators.scans import previous
-from tidemark.operators.state import LOG_ORDER, active
+from tidemark.operators.state import LOG_ORDER, active, latest_rows, soft_delete
 from tidemark.plans.marts import sales_by_category
 
 
@@ -147,11 +147,13 @@ def first_users(users: DataFrame, k: int = 500) -> DataFrame:
     return active(users).select("user_id", label.alias("label")).orderBy("user_id").limit(k)
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Live rows per table."""
+def table_counts(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Live rows per entity; the payload is not read for it."""
     counts = [
-        active(df).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
-        for name, df in tables.items()
+        active(soft_delete(latest_rows(df, entity))).agg(
+            F.lit(entity).alias("table_name"), F.count(F.lit(1)).alias("n")
+        )
+        for entity, df in bronze.items()
     ]
     result = counts[0]
     for other in counts[1:]:

@@ -42,18 +42,53 @@ def _present(image: Column) -> Column:
     ).isNotNull()
 
 
-def _delta(metric: str, key: Column, change: Column, when: Column) -> Column:
-    row = F.struct(
-        F.lit(metric).alias("metric"), key.alias("key"), change.cast("decimal(14,2)").alias("delta")
-    )
-    return F.when(when, row)
-
-
 def _counted() -> Column:
     """A change with an operation or a time was sent by the source, whatever it holds."""
     return F.coalesce(F.col("op"), F.col("ts_ms").cast("string")).isNotNull()
 
 
+def order_moves(changes: DataFrame) -> DataFrame:
+    """Order changes summed by what decides their effect: kind, old and new status.
+
+    There are few such combinations, so almost all of the summing happens in the map
+    tasks. New orders are also kept apart by customer.
+    """
+    op, before, after = F.col("op"), F.col("before"), F.col("after")
+    kind = (
+        F.when(op.isin(*CREATE_OPS) & _present(after), "new")
+        .when((op == "u") & _present(after), "changed")
+        .when((op == "d") & _present(before), "gone")
+        .otherwise("void")
+    )
+    amount = lambda image: F.coalesce(image["total_amount"].try_cast("decimal(12,2)"), F.lit(0))
+    status = F.nullif(after["status"], F.lit(""))
+    return (
+        changes.where(_counted())
+        .select(
+            "topic",
+            kind.alias("kind"),
+            F.nullif(before["status"], F.lit("")).alias("old"),
+            F.when(kind == "new", F.coalesce(status, F.lit(DEFAULT_STATUS))).otherwise(status).alias("new"),
+            F.when(kind == "new", F.coalesce(after["user_id"], F.lit(""))).alias("user_id"),
+            amount(before).alias("old_amount"),
+            amount(after).alias("new_amount"),
+            "ts_ms",
+        )
+        .groupBy("topic", "kind", "old", "new", "user_id")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("old_amount").alias("old_amount"),
+            F.sum("new_amount").alias("new_amount"),
+            F.max("ts_ms").alias("ts_ms"),
+        )
+    )
+
+
+def _delta(metric: str, key: Column, change: Column, when: Column) -> Column:
+    row = F.struct(F.lit(metric).alias("metric"), key.alias("key"), change.cast(MONEY).alias("delta"))
+    return F.when(when, row)
+
+
 def order_deltas(changes: DataFrame) -> DataFrame:
     """(metric, key, delta, ts_ms) rows of order changes.
 
@@ -64,41 +99,34 @@ def order_deltas(changes: DataFrame) -> DataFrame:
     * with no before image the old status is unknown: no status moves, revenue is added;
     * any change at all counts as an event of its topic.
     """
-    op, before, after = F.col("op"), F.col("before"), F.col("after")
-    created = op.isin(*CREATE_OPS) & _present(after)
-    updated = (op == "u") & _present(after)
-    deleted = (op == "d") & _present(before)
-
-    amount = lambda image: F.coalesce(image["total_amount"].try_cast("decimal(12,2)"), F.lit(0))
-    first = or_default(after["status"], DEFAULT_STATUS)
-    old = F.nullif(before["status"], F.lit(""))
-    new = F.nullif(after["status"], F.lit(""))
+    kind, old, new, n = F.col("kind"), F.col("old"), F.col("new"), F.col("n")
+    created, updated, deleted = kind == "new", kind == "changed", kind == "gone"
     moved = updated & (old != new)
     entered = updated & is_revenue(new) & ~is_revenue(old)
     left = updated & is_revenue(old) & ~is_revenue(new)
-    one, none = F.lit(1), F.lit("")
+    none = F.lit("")
 
     deltas = F.array(
-        _delta(EVENTS, F.col("topic"), one, _counted()),
-        _delta(TOTAL, none, one, created),
-        _delta(STATUS, first, one, created),
-        _delta(BY_USER, F.coalesce(after["user_id"], none), one, created),
-        _delta(REVENUE, none, amount(after), created & is_revenue(first)),
-        _delta(STATUS, old, -one, moved),
-        _delta(STATUS, new, one, moved),
-        _delta(REVENUE, none, amount(after), entered),
-        _delta(REVENUE, none, -amount(after), left),
-        _delta(STATUS, old, -one, deleted & old.isNotNull()),
-        _delta(REVENUE, none, -amount(before), deleted & is_revenue(old)),
+        _delta(EVENTS, F.col("topic"), n, F.lit(True)),
+        _delta(TOTAL, none, n, created),
+        _delta(STATUS, new, n, created | moved),
+        _delta(STATUS, old, -n, moved | (deleted & old.isNotNull())),
+        _delta(BY_USER, F.col("user_id"), n, created),
+        _delta(REVENUE, none, F.col("new_amount"), (created & is_revenue(new)) | entered),
+        _delta(REVENUE, none, -F.col("new_amount"), left),
+        _delta(REVENUE, none, -F.col("old_amount"), deleted & is_revenue(old)),
     )
     found = F.filter(deltas, lambda d: d.isNotNull())
-    return changes.select("ts_ms", F.explode(found).alias("d")).select("d.*", "ts_ms")
+    return order_moves(changes).select("ts_ms", F.explode(found).alias("d")).select("d.*", "ts_ms")
 
 
 def event_deltas(log: DataFrame) -> DataFrame:
     """The event counts alone, for topics that feed no other metric."""
-    return commit_times(log).where(_counted()).select(
-        F.lit(EVENTS).alias("metric"), F.col("topic").alias("key"), F.lit(1).cast("decimal(14,2)").alias("delta"), "ts_ms"
+    counts = commit_times(log).where(_counted()).groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"), F.max("ts_ms").alias("ts_ms")
+    )
+    return counts.select(
+        F.lit(EVENTS).alias("metric"), F.col("topic").alias("key"), F.col("n").cast(MONEY).alias("delta"), "ts_ms"
     )
 
 

@@ -21,7 +21,7 @@ from tidemark.sources.log import read_log
 from tidemark.sources.tables import read_table
 from tidemark.streaming import alerts as alert_stream
 from tidemark.streaming import jobs
-from tidemark.streaming.sinks import finish, read_appended, read_newest
+from tidemark.streaming.sinks import finish, read_newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,8 +162,9 @@ def mart_daily_revenue(at: Lake) -> DataFrame:
 
 @query
 def mart_sales_by_category(at: Lake) -> DataFrame:
-    items = core.core_order_items(at.stage("order_items"), at.stage("products"))
-    return marts.sales_by_category(items, at.stage("orders"))
+    # Of the orders only status and deletion mark matter.
+    items = core.core_order_items(at.stage("order_items"), at.stage("products", "name", "category"))
+    return marts.sales_by_category(items, at.stage("orders", "status"))
 
 
 @query
@@ -193,7 +194,7 @@ def cancellations_by_city(at: Lake) -> DataFrame:
 
 @query
 def order_funnel(at: Lake) -> DataFrame:
-    return analyses.order_funnel(at.stage("orders"))
+    return analyses.order_funnel(at.stage("orders", "status"))
 
 
 @query
@@ -219,7 +220,7 @@ def best_category_month(at: Lake) -> DataFrame:
 
 @query
 def recent_orders(at: Lake) -> DataFrame:
-    return analyses.recent_orders(at.stage("orders"))
+    return analyses.recent_orders(at.stage("orders", "status", "total_amount"))
 
 
 @query
@@ -229,7 +230,7 @@ def first_users(at: Lake) -> DataFrame:
 
 @query
 def table_counts(at: Lake) -> DataFrame:
-    return analyses.table_counts({entity: at.stage(entity) for entity in KEYS})
+    return analyses.table_counts({entity: at.bronze(entity) for entity in KEYS})
 
 
 @query
@@ -252,7 +253,7 @@ def _other_logs(at: Lake) -> DataFrame:
 
 
 def _metrics(at: Lake) -> DataFrame:
-    return live.live_metrics(at.log("orders"), _other_logs(at), at.stage("users"))
+    return live.live_metrics(at.log("orders"), _other_logs(at), at.stage("users", "city"))
 
 
 def _minutes(at: Lake) -> DataFrame:
@@ -267,7 +268,7 @@ def _event_sums(at: Lake, *topics: str) -> DataFrame:
 
 
 def _top(at: Lake, metrics: DataFrame) -> DataFrame:
-    return live.trending_top(_minutes(at), live.last_minute(metrics), live.product_name(at.stage("products")))
+    return live.trending_top(_minutes(at), live.last_minute(metrics), live.product_name(at.stage("products", "name")))
 
 
 @query
@@ -300,7 +301,7 @@ def live_net_revenue(at: Lake) -> DataFrame:
 
 @query
 def live_orders_by_city(at: Lake) -> DataFrame:
-    cities = live.user_city(at.stage("users"))
+    cities = live.user_city(at.stage("users", "city"))
     return live.by_city(_order_sums(at), cities).select("city", "n").orderBy(F.desc("n"), "city")
 
 
@@ -311,12 +312,12 @@ def live_events_processed(at: Lake) -> DataFrame:
 
 @query
 def dim_user_city(at: Lake) -> DataFrame:
-    return live.user_city(at.stage("users"))
+    return live.user_city(at.stage("users", "city"))
 
 
 @query
 def dim_product_name(at: Lake) -> DataFrame:
-    return live.product_name(at.stage("products"))
+    return live.product_name(at.stage("products", "name"))
 
 
 @query
@@ -395,7 +396,7 @@ def bronze_stream(at: Lake) -> DataFrame:
 def live_metrics_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
     log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True)
-    finish(jobs.live_counters(log, lambda: at.stage("users"), root, every=None))
+    finish(jobs.live_counters(log, lambda: at.stage("users", "city"), root, every=None))
     return jobs.read_metrics(at.spark, root)
 
 
@@ -411,9 +412,8 @@ def trending_minute_stream(at: Lake) -> DataFrame:
 def stock_alerts_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
     log = read_log(at.spark, at.log_path(INVENTORY), topics=[INVENTORY], streaming=True)
-    at.spark.conf.set("spark.sql.streaming.stateStore.providerClass", alert_stream.ROCKSDB)
     finish(alert_stream.raise_alerts(log, root, every=None))
-    return read_appended(at.spark, f"{root}/ops/stock_alerts", alert_stream.ALERT_SCHEMA)
+    return alert_stream.read_alerts(at.spark, root)
 
 
 # --- checks -------------------------------------------------------------------------

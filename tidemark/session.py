@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _FOLDERS: dict[str, str] = {}
 
+#: How much larger rows are as change records than in the given tables, and what one
+#: shuffle partition should hold.
+JSON_GROWTH = 4
+PARTITION_BYTES = 128 << 20
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -18,6 +25,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
+    """Enough shuffle partitions for the tables in ``folder``.
+
+    Only the number that adaptive execution starts from is raised; it merges what turns
+    out small, so a generous number costs little, and too low a one would spill.
+    """
+    size = folder_bytes(spark, folder)
+    wanted = math.ceil(size * JSON_GROWTH / PARTITION_BYTES)
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set(name, str(wanted))
+    return spark
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a path; they are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     settings = {

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.domain import INVENTORY
 from tidemark.operators.scans import running_sum
 from tidemark.session import scratch
-from tidemark.sources.tables import epoch_ms, read_table, spread
+from tidemark.sources.tables import epoch_ms, read_table, spread, table_path
 
 # Lifecycle paths by order key modulo 100, as half-open bands.
 PATHS = (
@@ -82,7 +82,7 @@ def _utc(column: str) -> Column:
 
 def orders_log(spark: SparkSession, folder: str) -> DataFrame:
     """One create per order, one update per further hop, at times a final delete."""
-    orders = spread(read_table(spark, folder, "orders")).select(
+    orders = spread(read_table(spark, folder, "orders"), table_path(folder, "orders")).select(
         "o_orderkey",
         "o_custkey",
         F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),

@@ -1,69 +1,50 @@
-"""Low-stock alerts on a stream: one flag of state per product."""
+"""Low-stock alerts on a stream, with one remembered flag per product."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.domain import ALERT_SCHEMA, LOW_STOCK
-from tidemark.session import ROCKSDB
-from tidemark.plans.alerts import alert_rows, stock_readings
+from tidemark.plans.alerts import alert_rows, falls, stock_readings
 from tidemark.streaming.jobs import INTERVAL
-from tidemark.streaming.sinks import append_batch, run_stream
-
-_FELL = "product_id bigint, stock_qty int, ts_ms bigint"
-
-
-class EdgeDetector(StatefulProcessor):
-    """Emits the readings at which a product falls below the threshold.
-
-    State is whether the product was low at its last reading. Readings of one batch are
-    put in log order here, because a shuffle does not keep it; a batch is bounded by the
-    source's rate limit, and three numbers per reading are held.
-    """
-
-    def __init__(self, threshold: int):
-        self.threshold = threshold
+from tidemark.streaming.sinks import append_batch, published_before, read_appended, replace_batch, run_stream
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.was_low = handle.getValueState("was_low", "low boolean")
+MEMORY_SCHEMA = "product_id bigint, was_low boolean"
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        readings = pd.concat(rows, ignore_index=True).sort_values("kafka_offset")
-        low = readings["stock_qty"].to_numpy() < self.threshold
-        first = bool(self.was_low.get()[0]) if self.was_low.exists() else False
-        before = np.concatenate(([first], low[:-1]))
-        self.was_low.update((bool(low[-1]),))
-        yield readings.loc[low & ~before, ["product_id", "stock_qty", "ts_ms"]]
 
-    def close(self) -> None:
-        pass
-
-
-def stock_alerts_stream(inventory_log: DataFrame, threshold: int = LOW_STOCK) -> DataFrame:
-    fell = (
-        stock_readings(inventory_log)
-        .groupBy("product_id")
-        .transformWithStateInPandas(EdgeDetector(threshold), _FELL, "append", "none")
-    )
-    return alert_rows(fell, threshold)
+def remember(memory: DataFrame, readings: DataFrame, threshold: int) -> DataFrame:
+    """Whether each product was low at its last reading, brought forward by a batch."""
+    last = readings.groupBy("product_id").agg(F.max_by("stock_qty", "kafka_offset").alias("stock_qty"))
+    newer = last.select("product_id", (F.col("stock_qty") < threshold).alias("now_low"))
+    both = memory.join(newer, "product_id", "full_outer")
+    return both.select("product_id", F.coalesce("now_low", "was_low").alias("was_low"))
 
 
 def raise_alerts(
     inventory_log: DataFrame, root: str, every: str | None = INTERVAL, threshold: int = LOW_STOCK
 ) -> StreamingQuery:
-    """Append alerts to the ops table. A failed write is retried with its batch."""
-    return run_stream(
-        stock_alerts_stream(inventory_log, threshold),
-        append_batch(f"{root}/ops/stock_alerts"),
-        f"{root}/checkpoints/stock_alerts",
-        every=every,
-        name="stock-alerts",
-    )
+    """Append alerts to the ops table, batch by batch.
+
+    The order of a product's readings decides, and one product may send a large share of
+    a batch. So a batch is worked out with the batch plan, which cuts long histories into
+    segments, instead of product by product in a stateful operator; only the first
+    reading of each product needs the memory. A batch that fails is repeated from the
+    memory before it, so no alert is lost or doubled.
+    """
+    appended = append_batch(f"{root}/ops/stock_alerts")
+    path = f"{root}/memory/stock_alerts"
+    publish = replace_batch(path)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        memory = published_before(batch.sparkSession, path, MEMORY_SCHEMA, batch_id)
+        readings = stock_readings(batch)
+        appended(alert_rows(falls(readings, threshold, memory), threshold), batch_id)
+        publish(remember(memory, readings, threshold), batch_id)
+
+    return run_stream(inventory_log, step, f"{root}/checkpoints/stock_alerts", every=every, name="stock-alerts")
 
 
-__all__ = ["ALERT_SCHEMA", "ROCKSDB", "EdgeDetector", "raise_alerts", "stock_alerts_stream"]
+def read_alerts(spark: SparkSession, root: str) -> DataFrame:
+    return read_appended(spark, f"{root}/ops/stock_alerts", ALERT_SCHEMA)
