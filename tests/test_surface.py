@@ -51,17 +51,16 @@ def test_refresh_builds_tables_and_catalog(spark, tmp_path):
     listed = {(r.namespace, r.table_name) for r in surface.catalog_tables(spark).collect()}
     for name in descriptions():
         layer, table = name.split(".")
-        if layer != "staging":
-            assert (f"one_{layer}", table) in listed
-            columns = {r.col_name for r in surface.catalog_columns(spark, f"one_{name}").collect()}
-            assert columns == set(descriptions()[name])
+        assert (f"one_{layer}", table) in listed
+        columns = {r.col_name for r in surface.catalog_columns(spark, f"one_{name}").collect()}
+        assert columns == set(descriptions()[name])
     assert "one_gold.mart_daily_revenue" in surface.list_tables(spark)
     assert "total_revenue | decimal(22,2)" in surface.describe_table(spark, "one_gold.mart_daily_revenue")
     assert surface.describe_table(spark, "a; drop table b") == "Invalid table name."
 
     # A later run replaces the rows; leaving out a layer reads the earlier table.
     refunded = [*paid, change("u", before=order(1, "PAID"), after=order(1, "REFUNDED"), lsn=3)]
-    refresh(spark, bronze(spark, refunded), str(tmp_path), layers=("silver",), prefix="one_")
+    refresh(spark, bronze(spark, refunded), str(tmp_path), layers=("staging", "silver"), prefix="one_")
     assert spark.table("one_silver.core_orders").first().is_refunded == 1
     assert spark.table("one_gold.mart_daily_revenue").first().total_revenue == 10
     refresh(spark, bronze(spark, refunded), str(tmp_path), prefix="one_")

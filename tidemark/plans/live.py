@@ -195,11 +195,18 @@ def by_city(metrics: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def with_cities(sums: DataFrame, cities: DataFrame) -> DataFrame:
-    """The metric table with per-user counts turned into per-city counts."""
-    per_city = by_city(sums, cities).select(
-        F.lit(BY_CITY).alias("metric"), F.col("city").alias("key"), F.col("n").cast(MONEY).alias("value"), "newest_ms"
+    """The metric table with per-user counts turned into per-city counts.
+
+    All rows pass through the one join, those of other metrics without a match, so that
+    the sums are worked out once and not per kind of metric.
+    """
+    of_user = F.col("metric") == BY_USER
+    joined = sums.withColumn("user_id", F.when(of_user, F.col("key").try_cast("bigint"))).join(
+        cities, "user_id", "left"
     )
-    return sums.where(F.col("metric") != BY_USER).unionByName(per_city)
+    key = F.when(of_user, F.coalesce("city", F.lit(DEFAULT_CITY))).otherwise(F.col("key"))
+    metric = F.when(of_user, BY_CITY).otherwise(F.col("metric"))
+    return merge_sums(joined.select(metric.alias("metric"), key.alias("key"), "value", "newest_ms"))
 
 
 def live_metrics(order_log: DataFrame, other_logs: DataFrame, users: DataFrame) -> DataFrame:
@@ -275,7 +282,7 @@ def trending_sliding(minutes: DataFrame, window: int = TRENDING_MINUTES) -> Data
 def live_summary(metrics: DataFrame, top: DataFrame) -> DataFrame:
     """The dashboard, as (section, position, label, value) rows.
 
-    Reads the small metric table and the ranked products, never the events.
+    ``metrics`` is the published table: it is read several times here.
     """
     value = F.col("value").cast(MONEY)
     total = F.sum(F.when(F.col("metric") == TOTAL, F.col("value")))
@@ -310,11 +317,15 @@ def drift(metrics: DataFrame, core_orders: DataFrame) -> DataFrame:
     live = metrics.where(F.col("metric").isin(STATUS, REVENUE)).select(
         "metric", "key", F.col("value").alias("live")
     )
-    orders = core_orders.where(~F.col("is_deleted"))
-    counts = orders.groupBy(F.col("status").alias("key")).agg(F.count(F.lit(1)).alias("batch"))
-    revenue = orders.agg(F.sum("paid_amount").cast(MONEY).alias("batch"))
-    batch = counts.select(F.lit(STATUS).alias("metric"), "key", F.col("batch").cast(MONEY).alias("batch")).unionByName(
-        revenue.select(F.lit(REVENUE).alias("metric"), F.lit("").alias("key"), "batch")
+    per_status = core_orders.where(~F.col("is_deleted")).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("paid_amount").alias("paid")
+    )
+    count = F.struct(F.lit(STATUS).alias("metric"), F.col("status").alias("key"), F.col("n").cast(MONEY).alias("batch"))
+    paid = F.struct(F.lit(REVENUE).alias("metric"), F.lit("").alias("key"), F.col("paid").cast(MONEY).alias("batch"))
+    batch = (
+        per_status.select(F.inline(F.array(count, paid)))
+        .groupBy("metric", "key")
+        .agg(F.sum("batch").cast(MONEY).alias("batch"))
     )
     both = live.join(batch, ["metric", "key"], "full_outer")
     return both.select(

@@ -57,17 +57,14 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Rebuild the layers asked for and return every table, with the ``dq_report``.
 
-    Staging is a set of lazy views over bronze; silver and gold are written, so each is
-    computed once however many readers and checks follow. Layers left out are read from
-    the tables of an earlier run. The report is written before the job fails on errors.
-    ``prefix`` goes before the namespaces, to keep several lakes in one catalog apart.
+    Each table is written once, however many models and checks read it. Staging is read
+    through views, which are pointed at the rows just written. Layers left out are read
+    from the tables of an earlier run. The report is written before the job fails on
+    errors. ``prefix`` goes before the namespaces, to keep several lakes in one catalog
+    apart.
     """
     create_namespaces(spark, root, prefix)
     tables = {f"bronze.{entity}": df for entity, df in bronze.items()}
-    for entity, df in bronze.items():
-        view = stage(df, entity)
-        view.createOrReplaceTempView(f"{prefix}stg_{entity}")
-        tables[f"stg_{entity}"] = view
 
     def build(layer: str, name: str, plan) -> None:
         tables[name] = (
@@ -76,6 +73,9 @@ def refresh(
             else spark.table(f"{prefix}{layer}.{name}")
         )
 
+    for entity, df in bronze.items():
+        build("staging", f"stg_{entity}", lambda: stage(df, entity))
+        tables[f"stg_{entity}"].createOrReplaceTempView(f"{prefix}stg_{entity}")
     build("silver", "core_orders", lambda: core_orders(tables["stg_orders"], tables["stg_users"]))
     build("silver", "core_order_items", lambda: core_order_items(tables["stg_order_items"], tables["stg_products"]))
     build("gold", "mart_daily_revenue", lambda: daily_revenue(tables["core_orders"]))

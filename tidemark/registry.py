@@ -357,8 +357,10 @@ def trending_sliding(at: Lake) -> DataFrame:
 
 @query
 def live_summary(at: Lake) -> DataFrame:
-    metrics = _metrics(at)
-    return live.live_summary(metrics, _top(at, metrics))
+    path = scratch(at.spark, "metrics")
+    _metrics(at).write.parquet(path)
+    published = at.spark.read.parquet(path)
+    return live.live_summary(published, _top(at, published))
 
 
 @query
@@ -424,7 +426,7 @@ def _built(at: Lake) -> dict[str, DataFrame]:
     if at.built is None:
         bronze = {entity: at.bronze(entity) for entity in KEYS}
         at.built = refresh.refresh(
-            at.spark, bronze, f"{at.root}/tables", layers=("silver", "gold"), prefix=at.prefix
+            at.spark, bronze, f"{at.root}/tables", layers=("staging", "silver", "gold"), prefix=at.prefix
         )
     return at.built
 
