@@ -137,3 +137,24 @@ def test_dictionary_covers_every_table_once(spark):
     assert df.count() == df.select("table_name", "column_name").distinct().count() == 87
     assert df.where("description is null or description = ''").count() == 0
     assert STATUSES[0] == "CREATED"
+
+
+def test_copies_of_a_change_are_listed_once(spark):
+    from conftest import change, make_log, order
+    from tidemark.functions.envelope import envelope
+    from tidemark.plans.analyses import order_history
+
+    created, paid = change("c", after=order(1), lsn=1), change("u", before=order(1), after=order(1, "PAID"), lsn=2)
+    bronze = envelope(make_log(spark, "orders", [created, paid, created, paid, paid]), "order_id")
+    found = order_history(bronze).select("lsn", "old_status", "new_status", "is_transition")
+    assert rows(found) == [(1, None, "CREATED", True), (2, "CREATED", "PAID", True)]
+
+
+def test_city_at_the_time_of_the_order(spark):
+    from tidemark.plans.analyses import orders_by_city_then
+
+    orders = spark.createDataFrame([(1, 5), (1, 5), (1, 10), (1, 20), (2, 7)], "user_id bigint, lsn bigint")
+    versions = spark.createDataFrame(
+        [(1, 6, "Izmir"), (1, 20, "Bursa"), (2, 8, "Konya")], "user_id bigint, lsn bigint, city string"
+    )
+    assert rows(orders_by_city_then(orders, versions)) == [("Bursa", 1), ("Izmir", 1), ("Unknown", 3)]

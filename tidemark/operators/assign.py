@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Weight lists up to this length are broadcast; longer ones are joined as Spark sees fit.
+BROADCAST_ROWS = 10_000
+
+
 def bands(weights: DataFrame, name: str, weight: str) -> DataFrame:
     """Half-open ``[lo, hi)`` bands in cumulative weight, heaviest first.
 
@@ -26,12 +30,15 @@ def weighted_assignment(
     all), and rows look only into their own cell. Bands are disjoint, so at most one
     matches.
     """
+    short = weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     total = weights.agg(F.sum(weight).alias("total"))
     width = weights.agg(F.greatest(F.ceil(F.sum(weight) / cells), F.lit(1)).cast("bigint").alias("width"))
     cell = lambda c: F.floor(c / width.scalar()).cast("bigint")
     covered = bands(weights, name, weight).where("hi > lo").select(
         name, "lo", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))).alias("_cell")
     )
+    if short:
+        covered = F.broadcast(covered)
     picked = rows.withColumn("_pick", F.pmod(point, total.scalar())).withColumn(
         "_picked_cell", cell(F.col("_pick"))
     )

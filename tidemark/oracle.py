@@ -235,10 +235,15 @@ def oracle_sql() -> dict[str, str]:
         "core_order_items": _sql("SELECT * FROM ci", "ci"),
         "mart_daily_revenue": _sql("SELECT * FROM daily", "daily"),
         "mart_sales_by_category": _sql("SELECT * FROM cat", "cat"),
+        "order_header": _sql(
+            """SELECT so.order_id, so.user_id, so.status, so.total_amount, so.created_at, su.full_name, su.city
+            FROM so JOIN su USING (user_id) WHERE NOT so.is_deleted AND NOT su.is_deleted""",
+            "so", "su",
+        ),
         "order_detail": _sql(
             """SELECT so.order_id, so.user_id, so.status, so.total_amount, so.created_at, su.full_name, su.city,
                 i.order_item_id, i.product_id, i.name, i.category, i.quantity, i.unit_price, i.line_total
-            FROM so JOIN su USING (user_id) LEFT JOIN (
+            FROM so JOIN su USING (user_id) JOIN (
                 SELECT si.order_id, order_item_id, product_id, name, category, quantity, unit_price,
                     CAST(quantity * unit_price AS DECIMAL(32,2)) AS line_total
                 FROM si JOIN sp USING (product_id) WHERE NOT si.is_deleted) i USING (order_id)

@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.domain import DEFAULT_CITY
 from tidemark.functions.columns import event_time, percent
 from tidemark.functions.envelope import extract
-from tidemark.operators.scans import previous
+from tidemark.operators.scans import carry_forward, previous
 from tidemark.operators.state import LOG_ORDER, active, latest_rows, soft_delete
 from tidemark.plans.marts import sales_by_category
 
 
 def order_history(bronze_orders: DataFrame) -> DataFrame:
-    """Each change of an order with the status before it, for audit."""
-    events = extract(bronze_orders, {"status": ("$.status", "string")}).drop("raw_payload")
-    with_before = previous(events, "order_id", LOG_ORDER, "status", "old_status")
+    """Each change of an order with the status before it, for audit.
+
+    A change that was delivered more than once is listed once; copies are collapsed by a
+    grouping, in the map tasks, before an order's changes are put in order.
+    """
+    events = extract(bronze_orders, {"status": ("$.status", "string")})
+    changes = events.groupBy("order_id", "lsn", "ts_ms", "op", "status").agg(
+        F.min("kafka_offset").alias("kafka_offset")
+    )
+    with_before = previous(changes, "order_id", LOG_ORDER, "status", "old_status")
     return with_before.select(
         "order_id",
         "lsn",
@@ -147,6 +155,23 @@ def first_users(users: DataFrame, k: int = 500) -> DataFrame:
     return active(users).select("user_id", label.alias("label")).orderBy("user_id").limit(k)
 
 
+def orders_by_city_then(creations: DataFrame, versions: DataFrame) -> DataFrame:
+    """Created orders per city, by the customer's city when the order was placed.
+
+    ``creations`` has user_id and lsn of new orders, ``versions`` user_id, lsn and city
+    of the customers. Orders are counted per position first, so copies weigh little.
+    """
+    orders = creations.groupBy("user_id", "lsn").agg(F.count(F.lit(1)).alias("n"))
+    history = orders.select(
+        "user_id", "lsn", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("city"), "n"
+    ).unionByName(
+        versions.select("user_id", "lsn", F.lit(0).alias("kind"), "city", F.lit(0).cast("bigint").alias("n"))
+    )
+    known = carry_forward(history, "user_id", ["lsn", "kind"], "city", "city_then")
+    city = F.coalesce("city_then", F.lit(DEFAULT_CITY))
+    return known.where("kind = 1").groupBy(city.alias("city")).agg(F.sum("n").alias("n"))
+
+
 def table_counts(bronze: dict[str, DataFrame]) -> DataFrame:
     """Live rows per entity; the payload is not read for it."""
     counts = [

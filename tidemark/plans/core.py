@@ -60,17 +60,21 @@ def core_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def order_lines(orders: DataFrame, users: DataFrame, items: DataFrame, products: DataFrame, order_id: int | None = None) -> DataFrame:
-    """Order screen: live orders with customer and lines, one row per line.
+def order_header(orders: DataFrame, users: DataFrame, order_id: int | None = None) -> DataFrame:
+    """Order screen, upper part: live orders with their customer."""
+    wanted = active(orders) if order_id is None else active(orders).where(F.col("order_id") == order_id)
+    return wanted.drop("is_deleted").join(
+        active(users).select("user_id", "full_name", "city"), "user_id"
+    )
+
+
+def order_lines(header: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    """Order screen, lower part: one row per line, with its order and product.
 
-    Lines stay rows instead of a nested list, so an order may have any number of them.
-    An order without lines keeps one row; a line without product is left out.
+    Lines stay rows instead of a nested list, and the joins are inner ones, so an order
+    may have any number of lines: adaptive execution can split it over tasks.
     """
-    orders, users, items, products = map(active, (orders, users, items, products))
-    if order_id is not None:
-        orders = orders.where(F.col("order_id") == order_id)
-        items = items.where(F.col("order_id") == order_id)
-    lines = items.join(products.drop("price", "is_deleted"), "product_id").select(
+    lines = active(items).join(active(products).select("product_id", "name", "category"), "product_id").select(
         "order_id",
         "order_item_id",
         "product_id",
@@ -80,5 +84,4 @@ def order_lines(orders: DataFrame, users: DataFrame, items: DataFrame, products:
         "unit_price",
         F.round(F.col("quantity") * F.col("unit_price"), 2).alias("line_total"),
     )
-    header = orders.drop("is_deleted").join(users.select("user_id", "full_name", "city"), "user_id")
-    return header.join(lines, "order_id", "left")
+    return header.join(lines, "order_id")

@@ -252,10 +252,9 @@ def trending_top(
     minutes: DataFrame, anchor: DataFrame, names: DataFrame, window: int = TRENDING_MINUTES, k: int = 10
 ) -> DataFrame:
     """Best sellers of the window that ends at the anchor minute; ties by product id."""
-    end = F.col("minute") <= anchor.scalar()
-    begin = F.col("minute") > anchor.scalar() - F.expr(f"interval {int(window)} minutes")
+    age = F.unix_timestamp(anchor.scalar()) - F.unix_timestamp("minute")
     best = (
-        minutes.where(begin & end)
+        minutes.where(F.floor(age / (window * 60)) == 0)  # 0 <= age < window
         .groupBy("product_id")
         .agg(F.sum("units").alias("units"))
         .orderBy(F.desc("units"), "product_id")

@@ -7,12 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.domain import CITY_WEIGHTS, INVENTORY, KEYS
-from tidemark.functions.envelope import drop_redelivered, envelope, extract, quarantine
+from tidemark.domain import CITY_WEIGHTS, CREATE_OPS, INVENTORY, KEYS
+from tidemark.functions.envelope import drop_redelivered, envelope, extract, images, quarantine
 from tidemark.lake import Lake, lake
 from tidemark.operators import quality
 from tidemark.operators.assign import weighted_assignment
-from tidemark.operators.scans import carry_forward
 from tidemark.operators.state import active, latest_by_key, soft_delete, stage, staged, state_as_of
 from tidemark.plans import alerts, analyses, checks, core, incremental, live, marts, refresh, surface
 from tidemark.session import scratch
@@ -167,11 +166,15 @@ def mart_sales_by_category(at: Lake) -> DataFrame:
     return marts.sales_by_category(items, at.stage("orders", "status"))
 
 
+@query
+def order_header(at: Lake) -> DataFrame:
+    return core.order_header(at.stage("orders"), at.stage("users", "full_name", "city"))
+
+
 @query
 def order_detail(at: Lake) -> DataFrame:
-    return core.order_lines(
-        at.stage("orders"), at.stage("users"), at.stage("order_items"), at.stage("products")
-    )
+    header = core.order_header(at.stage("orders"), at.stage("users", "full_name", "city"))
+    return core.order_lines(header, at.stage("order_items"), at.stage("products", "name", "category"))
 
 
 # --- analyses -----------------------------------------------------------------------
@@ -322,22 +325,11 @@ def dim_product_name(at: Lake) -> DataFrame:
 
 @query
 def asof_city(at: Lake) -> DataFrame:
-    """Created orders per city, by the customer's city at the time of the order."""
-    orders = live.order_changes(at.log("orders")).where(F.col("op").isin("c", "r")).select(
-        F.col("after")["user_id"].try_cast("bigint").alias("user_id"),
-        "lsn",
-        F.lit(1).alias("kind"),
-        F.lit(None).cast("string").alias("city"),
-    )
-    versions = extract(at.bronze("users"), {"city": ("$.city", "string")}).select(
-        "user_id",
-        "lsn",
-        F.lit(0).alias("kind"),
-        F.when(F.col("op") == "d", live.DEFAULT_CITY).otherwise(F.col("city")).alias("city"),
-    )
-    known = carry_forward(orders.unionByName(versions), "user_id", ["lsn", "kind"], "city", "city_then")
-    city = F.coalesce("city_then", F.lit(live.DEFAULT_CITY))
-    return known.where("kind = 1").groupBy(city.alias("city")).agg(F.count(F.lit(1)).alias("n"))
+    created = images(at.log("orders"), "user_id:string").where(F.col("op").isin(*CREATE_OPS))
+    creations = created.select(F.col("after")["user_id"].try_cast("bigint").alias("user_id"), "lsn")
+    city = F.when(F.col("op") == "d", live.DEFAULT_CITY).otherwise(F.col("city"))
+    versions = extract(at.bronze("users"), {"city": ("$.city", "string")}).withColumn("city", city)
+    return analyses.orders_by_city_then(creations, versions)
 
 
 @query

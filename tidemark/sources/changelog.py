@@ -214,14 +214,17 @@ def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
     Lines have no key of their own. They are range-sorted, so no order however long
     lands in one task, and numbered by partition start plus place in the partition. The
     sorted rows are written first: the range cuts come from a sample, and both the
-    partition counts and the numbers must see the same cuts.
+    partition counts and the numbers must see the same cuts. Equal lines are told apart
+    by their place in the input, so that many copies of one line do not pile up either.
     """
     path = scratch(spark, "lines")
+    order = (*_LINE_ORDER, "_copy")
     (
         read_table(spark, folder, "lineitem")
-        .select(*_LINE_ORDER)
-        .repartitionByRange(*_LINE_ORDER)
-        .sortWithinPartitions(*_LINE_ORDER)
+        .select(*_LINE_ORDER, F.monotonically_increasing_id().alias("_copy"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("_copy")
         .withColumn("_place", F.monotonically_increasing_id())
         .write.parquet(path)
     )
