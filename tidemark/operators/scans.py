@@ -58,11 +58,12 @@ def previous(
     inside = Window.partitionBy(key, "_segment").orderBy(*order)
     # Wrapped in a struct, so that a preceding null differs from no preceding row.
     local = cut.withColumn("_local", F.lag(F.struct(value)).over(inside))
-    position = F.struct(*order)
+    # By a single column this aggregates in a hash table, without sorting.
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     joined = _with_carry(
         local,
         key,
-        F.max_by(F.struct(value), position),
+        F.struct(F.max_by(value, position).alias(value)),
         F.last("_total").over(_earlier(key)),
         cut,
     )
