@@ -105,7 +105,7 @@ _PARTS = {
         SELECT topic, count(*) AS n, max(ts_ms) AS ts_ms FROM (
             SELECT 'orders' AS topic, ts_ms FROM ev
             UNION ALL SELECT 'order_items', ts_ms FROM si
-            UNION ALL SELECT 'order_items', ts_ms + 86400000 FROM si WHERE is_deleted
+            UNION ALL SELECT 'order_items', ts_ms + 60000 FROM si WHERE is_deleted
             UNION ALL SELECT 'users', 788918400000 FROM customer
             UNION ALL SELECT 'users', 788918400000 + (c_custkey % 2000 + 1) * 86400000 FROM customer
                 WHERE c_custkey % 10 = 4 OR c_custkey % 50 = 9
@@ -124,7 +124,7 @@ _PARTS = {
         SELECT mi.product_id, any_value(sp.name) AS name, CAST(sum(units) AS BIGINT) AS units
         FROM mi JOIN sp USING (product_id),
             (SELECT date_trunc('minute', make_timestamp(max(ts_ms) * 1000)) AS anchor FROM (
-                SELECT ts_ms FROM si UNION ALL SELECT ts_ms + 86400000 FROM si WHERE is_deleted
+                SELECT ts_ms FROM si UNION ALL SELECT ts_ms + 60000 FROM si WHERE is_deleted
                 UNION ALL SELECT ts_ms FROM ev))
         WHERE minute > anchor - INTERVAL 60 MINUTE AND minute <= anchor
         GROUP BY 1 ORDER BY units DESC, product_id LIMIT 10)""",
@@ -355,7 +355,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_user_city": _sql("SELECT user_id, city FROM su WHERE NOT is_deleted", "su"),
         "dim_product_name": _sql("SELECT product_id, name FROM sp", "sp"),
         "asof_city": _sql(
-            """SELECT CASE WHEN user_id % 50 = 9 AND (user_id + 1) * 160 + 9 - 1 <= (order_id + 1) * 16 THEN 'Unknown'
+            """SELECT CASE WHEN user_id % 50 = 9 AND (user_id + 1) * 160 + 8 <= (order_id + 1) * 16 THEN 'Unknown'
                     WHEN user_id % 10 = 4 AND (user_id + 1) * 160 + 8 <= (order_id + 1) * 16 THEN moved.n_name
                     ELSE home.n_name END AS city, count(*) AS n
             FROM ord JOIN customer ON c_custkey = user_id JOIN nation home ON home.n_nationkey = c_nationkey

@@ -28,6 +28,7 @@ PATHS = (
 # Order key modulo 700 -> hops kept, so that every status is also a last one.
 CUT_SHORT = ((99, 1), (199, 3), (299, 6))
 
+MINUTE_MS = 60_000
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
 SNAPSHOT_MS = 788_918_400_000  # 1995-01-01T00:00:00Z
@@ -244,7 +245,7 @@ def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _line_ms() -> Column:
     """Commit time of a line: its ship day, at a minute of the first hour."""
-    return epoch_ms("l_shipdate") + F.pmod("l_orderkey", F.lit(60)) * 60_000
+    return epoch_ms("l_shipdate") + F.pmod("l_orderkey", F.lit(60)) * MINUTE_MS
 
 
 def order_items_log(lines: DataFrame) -> DataFrame:
@@ -268,7 +269,7 @@ def order_items_log(lines: DataFrame) -> DataFrame:
             key,
             F.col("op"),
             place,
-            _line_ms() + F.when(created, 0).otherwise(DAY_MS),
+            _line_ms() + F.when(created, 0).otherwise(MINUTE_MS),
             F.when(~created, image),
             F.when(created, image),
             place,
