@@ -12,7 +12,7 @@ from tidemark.functions.envelope import drop_redelivered, envelope, extract, ima
 from tidemark.lake import Lake, lake
 from tidemark.operators import quality
 from tidemark.operators.assign import weighted_assignment
-from tidemark.operators.state import active, latest_by_key, soft_delete, stage, staged, state_as_of
+from tidemark.operators.state import latest_by_key, soft_delete, stage, staged, state_as_of
 from tidemark.plans import alerts, analyses, checks, core, incremental, live, marts, refresh, surface
 from tidemark.session import scratch
 from tidemark.sources import changelog
