@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import scratch
 
@@ -42,7 +43,10 @@ def once(value: Column) -> Column:
 
 
 def map_text(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | list[pa.RecordBatch]], schema: str, text: str = "text"
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | list[pa.RecordBatch]],
+    schema: StructType | str,
+    text: str = "text",
 ) -> DataFrame:
     """``work`` over slices of at most :data:`SLICE_BYTES` of the column ``text`` (or one row)."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, secrets
+from tidemark.llm import labelled, line_dedup, near_dups, packing, quality, secrets
 from tidemark.sources.tables import read_table
 
 
@@ -34,5 +34,28 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, packing.public_vocabulary())
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, folder, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        labelled.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op9_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return near_dups.classes(docs).select(F.col("id").alias("doc_id"), "class_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op3_secrets": op3_secrets}
+    found = [op1_line_dedup, op3_secrets, op4_packing, op6_quality, op9_near_dups]
+    return {query.__name__: query for query in found}
