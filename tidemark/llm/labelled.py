@@ -23,35 +23,38 @@ def held_out(id: str | Column) -> Column:
     return F.coalesce(F.crc32(F.col(id).cast("string") if isinstance(id, str) else id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, label) of about :data:`SAMPLE_ROWS` labelled rows outside the held-out fold.
+def rows(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text", most: int = 0) -> DataFrame:
+    """(key, text, label) of all labelled rows outside the held-out fold, or about ``most`` of them.
 
-    Rows are taken by a hash of their id, so the choice is the same in every run. Labels
-    other than 0 and 1, labels without a row and rows without an id are passed over; of
-    several labels of one id the largest counts.
+    Which rows are taken depends on a hash of their id, so the choice is the same in every
+    run. Labels other than 0 and 1, labels without a row and rows without an id are passed
+    over; of several labels of one id the largest counts.
     """
     known = labels.select(F.col(id).alias("key"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out("key"))
     known = known.groupBy("key").agg(F.max("label").alias("label"))
-    count = known.count()
-    if count > SAMPLE_ROWS:
-        share = int(SAMPLE_ROWS / count * (1 << 30))
-        known = known.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share)
+    if most and (count := known.count()) > most:
+        known = known.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(most / count * (1 << 30)))
     texts = docs.select(F.col(id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return texts.join(known, "key")
 
 
+def sample(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """About :data:`SAMPLE_ROWS` rows to fit on."""
+    return rows(docs, labels, label, id, text, SAMPLE_ROWS)
+
+
 def fit_shards(
-    rows: DataFrame, fit: Callable[[list[str], np.ndarray], Iterable[tuple[int, float]]]
+    taken: DataFrame, fit: Callable[[list[str], np.ndarray], Iterable[tuple[int, float]]]
 ) -> list[tuple[int, float]]:
     """Weights (index, value) of the models that ``fit`` makes of each shard, averaged.
 
     A shard's rows are in order of key and text, however they arrive. The result has as
     many rows as a model has weights, whatever the number of documents.
     """
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    taken.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     shard = F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(SHARDS)).cast("int")
-    dealt = rows.select(shard.alias("shard"), "key", "text", "label").repartition(SHARDS, "shard")
+    dealt = taken.select(shard.alias("shard"), "key", "text", "label").repartition(SHARDS, "shard")
     dealt = dealt.sortWithinPartitions("shard", F.xxhash64("key"), "key", "text")
 
     def made(texts: list[str], labels: list[int]) -> pa.RecordBatch:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import labelled, line_dedup, near_dups, packing, quality, secrets
+from tidemark.llm import decontamination, labelled, line_dedup, near_dups, packing, quality, secrets, toxicity
 from tidemark.sources.tables import read_table
 
 
@@ -19,6 +19,19 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        labelled.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.scan_secrets(docs, spans="found")
@@ -51,11 +64,17 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    marked = decontamination.mark(docs, read_table(spark, folder, "benchmark"))
+    return marked.select("doc_id", F.inline("matches"))
+
+
 def op9_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return near_dups.classes(docs).select(F.col("id").alias("doc_id"), "class_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op3_secrets, op4_packing, op6_quality, op9_near_dups]
+    found = [op1_line_dedup, op2_toxicity, op3_secrets, op4_packing, op6_quality, op8_decontamination, op9_near_dups]
     return {query.__name__: query for query in found}

@@ -14,6 +14,9 @@ import pyarrow as pa
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes that are no part of a letter or digit, white space among them.
+NO_LETTER = np.zeros(256, dtype=bool)
+NO_LETTER[[*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]] = True
 #: The same bytes, A to Z as a to z.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -21,7 +24,8 @@ FOLD[65:91] += 32
 
 class Words(NamedTuple):
     """Of the texts of a slice: each word's hash and first and last byte; ``bounds`` has
-    where the words of each text begin, and one more; ``data`` and ``offsets`` the bytes."""
+    where the words of each text begin, and one more; ``data`` and ``offsets`` the bytes;
+    ``sums`` the polynomial's running sums, ``units`` what brings those of a word to one scale."""
 
     hashes: np.ndarray
     starts: np.ndarray
@@ -29,6 +33,14 @@ class Words(NamedTuple):
     bounds: np.ndarray
     data: np.ndarray
     offsets: np.ndarray
+    sums: np.ndarray
+    units: np.ndarray
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each word, or of all if it has fewer."""
+        stop = np.minimum(self.starts + size, self.ends)
+        with np.errstate(over="ignore"):
+            return mix((self.sums[stop] - self.sums[self.starts]) * self.units + np.uint64(size))
 
     def owners(self) -> np.ndarray:
         """The number of the text that each word stands in."""
@@ -80,9 +92,9 @@ def find_words(column: pa.Array, fold: np.ndarray | None = None, separators: np.
         values *= powers(_BASE, len(values))
         sums = np.zeros(len(values) + 1, dtype=np.uint64)
         np.cumsum(values, out=sums[1:])
-        inverse = pow(_BASE, -1, 1 << 64)
-        hashes = mix((sums[ends] - sums[starts]) * powers(inverse, len(values) + 1)[starts])
-    return Words(hashes, starts, ends, np.searchsorted(starts, offsets), data, offsets)
+        units = powers(pow(_BASE, -1, 1 << 64), len(values) + 1)[starts]
+        hashes = mix((sums[ends] - sums[starts]) * units)
+    return Words(hashes, starts, ends, np.searchsorted(starts, offsets), data, offsets, sums, units)
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
