@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import line_dedup, secrets
+from tidemark.llm import chat, line_dedup, secrets
+from tidemark.llm.queries import CONTROL
 
 OP1 = f"""
 with line as (
@@ -105,5 +106,23 @@ from documents left join summed using (doc_id)
 """
 
 
+_ESCAPED = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
+_SIGNS = len(chat.START) + len(chat.END) + 2
+OP10 = f"""
+with turn as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}')
+), spoken as (
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+           coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '') as loss,
+           sum({_SIGNS} + length(replace({_ESCAPED.format("role")}, chr(10), '\\n')) + length({_ESCAPED.format("text")}))::bigint
+               as formatted_chars
+    from turn group by conv_id
+)
+select conv_id, n_turns, turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars from spoken
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_secrets": _op3()}
+    return {"op1_line_dedup": OP1, "op3_secrets": _op3(), "op10_chat": OP10}
