@@ -24,6 +24,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held(df: DataFrame) -> Column:
     """The whole row as one value, so that no work column can clash with its names."""
     return F.struct(*[F.col(f"`{name}`") for name in df.columns])

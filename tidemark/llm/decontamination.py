@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.common import map_text
+from tidemark.llm.common import fresh, map_text
 
 ERRORS = 0.08
 LEAST_CHARS = 20
@@ -197,7 +197,5 @@ def _pass(marked: DataFrame, block: list[Item], names: list[str], schema: Struct
 
 def clean(docs: DataFrame, items: DataFrame, id: str = "item_id", text: str = "text") -> DataFrame:
     """``docs`` without those that hold an item."""
-    name = "matches"
-    while name in docs.columns:
-        name += "_"
+    name = fresh(docs, "matches")
     return mark(docs, items, id, text, name).where(F.size(name) == 0).drop(name)
