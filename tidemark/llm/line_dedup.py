@@ -1,11 +1,13 @@
 """Line dedup by content-defined chunks.
 
-A document's lines are hashed; a rolling hash over :data:`WINDOW` of them ends a chunk
-wherever it is 0 modulo :data:`MEAN_LINES`. The ends follow the lines and not their
-numbers, so a passage shared by two documents is cut alike in both, whatever precedes
-it. A chunk of two or more lines, one of them not blank, that occurs more than once in
-all documents stays at its first place (lowest id, then position) and goes at all
-others. Chunks count as equal only if their bytes are.
+A document's lines are hashed; a rolling hash over a line and the one before it marks the
+line where it is 0 modulo :data:`MODULUS`. A chunk ends at a marked line that does not
+follow a marked one, so that chunks have two lines or more; the last line of a document is
+never a chunk of its own. Ends follow the lines and not their numbers: a passage shared by
+two documents is cut alike in both, whatever precedes it. A chunk of two or more lines, one
+of them not blank, that occurs more than once in all documents stays at its first place
+(lowest id, then position) and goes at all others. Chunks count as equal only if their
+bytes are.
 
 Defined results: a null text is an empty one; an empty or one-line text stays as it is;
 a null id sorts after all others; rows with the same id and text are one document and
@@ -18,11 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held, once, released
+from tidemark.llm.common import held, once, released, written
 
-#: Lines in the rolling hash, and lines per chunk on average.
-WINDOW = 2
-MEAN_LINES = 3
+#: One line of so many is marked; a quarter of all lines then end a chunk.
+MODULUS = 2
 LEAST_LINES = 2
 _BASE = 31
 _LAST = (1 << 63) - 1
@@ -39,10 +40,14 @@ def _chunked(df: DataFrame, wanted: Column | None = None) -> DataFrame:
     df = df.select("*", once(lines if wanted is None else F.when(wanted, lines)).alias("lines"))
     df = df.select("*", once(F.transform("lines", _line_hash)).alias("hashes"))
     count = F.size("hashes")
-    before = F.concat(F.array(F.lit(0).cast("long")), F.slice("hashes", 1, count - 1))
-    cut = F.zip_with("hashes", before, lambda own, last: F.pmod(last * _BASE + own, F.lit(MEAN_LINES)) == 0)
-    ends = F.filter(F.transform(cut, lambda c, i: F.when(c | (i == count - 1), i)), lambda i: i.isNotNull())
-    df = df.select("*", once(ends).alias("ends"))
+    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("hashes", 1, count - 1))
+    marks = F.zip_with("hashes", before, lambda own, last: F.coalesce(F.pmod(last * _BASE + own, F.lit(MODULUS)) == 0, F.lit(False)))
+    df = df.select("*", once(marks).alias("marks")).drop("hashes")
+    count = F.size("marks")
+    before = F.concat(F.array(F.lit(False)), F.slice("marks", 1, count - 1))
+    cut = F.zip_with("marks", before, lambda own, last: own & ~last)
+    ends = F.transform(cut, lambda c, i: F.when((c & (i < count - 2)) | (i == count - 1), i))
+    df = df.select("*", once(F.filter(ends, lambda i: i.isNotNull())).alias("ends")).drop("marks")
     starts = F.concat(F.array(F.lit(-1)), F.slice("ends", 1, F.size("ends") - 1))
     parts = F.zip_with(
         "ends",
@@ -52,7 +57,7 @@ def _chunked(df: DataFrame, wanted: Column | None = None) -> DataFrame:
             (end - start).alias("lines"),
         ),
     )
-    return df.select("*", once(parts).alias("parts")).drop("lines", "hashes", "ends")
+    return df.select("*", once(parts).alias("parts")).drop("lines", "ends")
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -92,7 +97,8 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", removed
     base = docs.select(held(docs).alias("row"), *keys)
     gone = (
         places.drop("chunk")
-        .join(repeated_chunks(places), ["one", "two"])
+        # Written apart from its grouping, so that the join can split a chunk that very many documents have.
+        .join(written(repeated_chunks(places), "repeated"), ["one", "two"])
         .where(F.col("place") > F.col("first"))
         .groupBy(F.col("id").alias("of_id"), F.col("version").alias("of_version"))
         .agg(F.collect_set("pos").alias("gone"))

@@ -12,11 +12,15 @@ with line as (
     from documents
 ), hashed as (
     select doc_id, line, i, ('0x' || substr(md5(line), 1, 8))::bigint as h from line
+), marked as (
+    select doc_id, line, i, count(*) over (partition by doc_id) as n,
+           coalesce((lag(h) over (partition by doc_id order by i) * 31 + h) % {line_dedup.MODULUS} = 0, false) as mark
+    from hashed
 ), cut as (
     select doc_id, line, i,
-           case when (coalesce(lag(h) over (partition by doc_id order by i), 0) * 31 + h) % {line_dedup.MEAN_LINES} = 0
+           case when mark and not coalesce(lag(mark) over (partition by doc_id order by i), false) and i < n - 1
                 then 1 else 0 end as ends
-    from hashed
+    from marked
 ), numbered as (
     select doc_id, line, i,
            coalesce(sum(ends) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as c
