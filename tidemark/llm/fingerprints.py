@@ -15,21 +15,24 @@ fingerprints is the share of values that agree.
 Defined results: a document without terms in the band uses all its terms; one without
 words has the fingerprint of the empty set; equal texts have equal fingerprints. The next
 document is that of the next larger id (ties: by the text's hash; after the last the
-first; alone: itself); rows with the same id and text are one document and each give the
-same row; a null id comes last.
+first; alone: itself); rows with the same id and text are one document and each give the same
+row; a null id comes last.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidemark.llm.common import map_text, written
+from tidemark.llm.common import BATCH_ROWS, map_text, slices, written
 from tidemark.llm.words import FOLD, Words, find_words, mix
 
 BITS = 20
@@ -77,7 +80,7 @@ def lexicon(docs: DataFrame, text: str = "text") -> np.ndarray:
     least, most = (total ** (1 - share) for share in reversed(BAND))
     within = counts.where((F.col("at") >= 0) & (F.col("n") >= math.floor(least)) & (F.col("n") <= math.ceil(most)))
     kept = np.zeros(1 << BITS, dtype=bool)
-    kept[within.select("at").toPandas()["at"].to_numpy()] = True
+    kept[within.select("at").toArrow().column("at").to_numpy()] = True
     return kept
 
 
@@ -113,72 +116,118 @@ def fingerprints(docs: DataFrame, kept: np.ndarray, columns: dict[str, str]) ->
     sent = docs.sparkSession.sparkContext.broadcast(kept)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = []
-        for text in texts:
-            rows = values(batch.column(text), sent.value).astype(">u4").tobytes()
-            width = 4 * FAMILIES
-            made.append(pa.array([rows[i : i + width] for i in range(0, len(rows), width)], pa.binary()))
+        made = [_packed(values(batch.column(text), sent.value)) for text in texts]
         return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + made, [*names, *columns.values()])
 
     fields = [docs.schema[n] for n in names] + [StructField(name, BinaryType()) for name in columns.values()]
     return map_text(docs.select(*names, *texts), work, StructType(fields), texts[0])
 
 
+def _packed(rows: np.ndarray) -> pa.Array:
+    data, width = rows.astype(">u4").tobytes(), 4 * FAMILIES
+    return pa.array([data[i : i + width] for i in range(0, len(data), width)], pa.binary())
+
+
 def likeness(a: str, b: str):
     """Share of equal numbers in two fingerprints."""
     same = [F.when(F.substring(a, 4 * i + 1, 4) == F.substring(b, 4 * i + 1, 4), 1).otherwise(0) for i in range(FAMILIES)]
     return sum(same[1:], same[0]) / F.lit(float(FAMILIES))
 
 
-def following(docs: DataFrame) -> DataFrame:
-    """(id, version, n, next_id, next_version) of each distinct document of (id, version, n).
-
-    Ids are range sorted; within a sorted partition the next row follows, and the last row
-    of one is followed by the first of the next. Only those first rows, one per partition,
-    are ordered in one place.
-    """
-    sort = [F.col("id").asc_nulls_last(), F.col("version").asc()]
-    known = written(docs.dropDuplicates(["id", "version"]), "ids").repartitionByRange(*sort).sortWithinPartitions(*sort)
-    known = written(known.withColumn("place", F.monotonically_increasing_id()), "places")
-    part = F.shiftright("place", 33)
-    heads = known.groupBy(part.alias("part")).agg(F.min(F.struct("place", "id", "version")).alias("head"))
-    ends = Window.orderBy("part")
-    whole = ends.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select("part", F.coalesce(F.lead("head").over(ends), F.first("head").over(whole)).alias("after"))
-    order = Window.partitionBy("part").orderBy("place")
-    own = F.struct("place", "id", "version")
-    rows = known.withColumn("part", part).withColumn("follows", F.lead(own).over(order)).join(F.broadcast(heads), "part")
-    after = F.coalesce("follows", "after")
-    return rows.select("id", "version", "n", after["id"].alias("next_id"), after["version"].alias("next_version"))
+def edit(text: str, after: str) -> str:
+    """The last quarter of ``text`` replaced by as much of the beginning of ``after``."""
+    quarter = len(text) // 4
+    return text[: len(text) - quarter] + after[:quarter]
+
+
+class Document(NamedTuple):
+    id: int | None
+    text: str
+    copies: int
+
+
+_ROW = (
+    "part long, first boolean, last boolean, id long, copies long, n_chars long, edited_sha256 string, "
+    "fingerprint binary, edited_fingerprint binary, next_fingerprint binary, text string"
+)
+_ROW_NAMES = [field.split()[0] for field in _ROW.split(", ")]
+
+
+def _rows(part: int, first: bool, docs: list[Document], after: Document | None, kept: np.ndarray) -> pa.RecordBatch:
+    """A row for each of ``docs``, each followed by the next and the last by ``after``; without
+    it the last row stays open. A partition's first and last rows keep their texts."""
+    known = [*docs, after] if after else docs
+    prints = _packed(values(pa.array([d.text for d in known], pa.large_string()), kept))
+    edited = [edit(d.text, n.text) for d, n in zip(known, known[1:], strict=False)]
+    edited_prints = _packed(values(pa.array(edited, pa.large_string()), kept)).to_pylist()
+    follow, none = prints.to_pylist()[1:], [None] * (len(docs) - len(edited))
+    count = len(docs)
+    ends = [after is None and i == count - 1 for i in range(count)]
+    heads = [first and i == 0 for i in range(count)]
+    columns = [
+        pa.array([part] * count, pa.int64()),
+        pa.array(heads, pa.bool_()),
+        pa.array(ends, pa.bool_()),
+        pa.array([d.id for d in docs], pa.int64()),
+        pa.array([d.copies for d in docs], pa.int64()),
+        pa.array([len(d.text) for d in docs], pa.int64()),
+        pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited] + none, pa.string()),
+        prints[:count],
+        pa.array(edited_prints + none, pa.binary()),
+        pa.array(follow[:count] + none, pa.binary()),
+        pa.array([d.text if h or e else None for d, h, e in zip(docs, heads, ends, strict=True)], pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, _ROW_NAMES)
 
 
 def compare_edits(docs: DataFrame, kept: np.ndarray, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next): how a document's fingerprint compares with that of its edited text, in which
-    the next document's beginning replaces the last quarter, and with the next document's."""
+    the next document's beginning replaces the last quarter, and with the next document's.
+
+    Texts are shuffled once, into ranges of ids. A task streams its sorted rows, keeping one
+    document back until the next is known. What the last document of each partition lacks, the
+    first of the next one, is joined to it afterwards: two rows a partition.
+    """
+    session = docs.sparkSession
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     body = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(body).alias("version"), body.alias("text"))
-    order = written(following(docs.select("id", "version", F.length("text").alias("n"))), "following")
-
-    def same(a: str, b: str):
-        return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}_id")) & (F.col(f"{a}.version") == F.col(f"{b}_version"))
-
-    quarter = F.floor(F.col("n") / 4).cast("int")
-    wanted = order.select(F.col("id").alias("of_id"), F.col("version").alias("of_version"), "next_id", "next_version", quarter.alias("n_tail"))
-    # The beginnings that documents lend to those before them; repeated rows lend one.
-    lent = docs.alias("d").join(wanted.where("n_tail > 0"), same("d", "next"))
-    lent = lent.select("of_id", "of_version", F.expr("substring(text, 1, n_tail)").alias("lent")).dropDuplicates(["of_id", "of_version"])
-    joined = docs.alias("d").join(lent, same("d", "of"), "left").select("id", "version", "text", F.coalesce("lent", F.lit("")).alias("lent"))
-    n = F.length("text")
-    edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), "lent")
-    both = joined.select("id", "version", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    both = both.withColumn("edited_sha256", F.sha2("edited", 256))
-    marked = written(fingerprints(both, kept, {"text": "fingerprint", "edited": "edited_fingerprint"}), "fingerprints")
-
-    ids = written(marked.select("id", "version", "fingerprint").dropDuplicates(["id", "version"]), "distinct")
-    after = wanted.join(ids.alias("d"), same("d", "next")).select("of_id", "of_version", F.col("fingerprint").alias("next_fingerprint"))
-    near = marked.alias("d").join(written(after, "after"), same("d", "of"))
-    return near.select(
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(body).alias("version"), body.alias("text"))
+    sort = [F.col("id").asc_nulls_last(), F.col("version").asc()]
+    ranged = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    sent = session.sparkContext.broadcast(kept)
+
+    def run(batches):
+        part, first, held = TaskContext.get().partitionId(), True, None
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                ready: list[Document] = []
+                for key, version, text in zip(*(piece.column(i).to_pylist() for i in range(3)), strict=True):
+                    if held and (held[0].id, held[1]) == (key, version):
+                        held = (held[0]._replace(copies=held[0].copies + 1), version)
+                        continue
+                    if held:
+                        ready.append(held[0])
+                    held = (Document(key, text, 1), version)
+                if ready:
+                    yield _rows(part, first, ready, held[0], sent.value)
+                    first = False
+        if held:
+            yield _rows(part, first, [held[0]], None, sent.value)
+
+    made = written(ranged.mapInArrow(run, _ROW), "ranges")
+    heads = made.where("first").select("part", F.col("text").alias("head"))
+    parts, order = heads.select("part"), Window.orderBy("part")  # one number for each partition
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = parts.select(F.col("part").alias("of"), F.coalesce(F.lead("part").over(order), F.first("part").over(whole)).alias("part"))
+    lent = after.join(heads, "part").select(F.col("of").alias("part"), "head")
+    quarter = F.floor(F.length("text") / 4).cast("int")
+    ends = made.where("last").join(lent, "part").withColumn("quarter", quarter)
+    ends = ends.withColumn("edited", F.expr("concat(substring(text, 1, length(text) - quarter), substring(head, 1, quarter))"))
+    ends = ends.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited_fingerprint", "next_fingerprint", "text", "quarter")
+    ends = fingerprints(ends, kept, {"edited": "edited_fingerprint", "head": "next_fingerprint"})
+    both = made.where("not last").drop("text").unionByName(ends)
+    return both.select(
         F.col("id").alias(id),
         "n_chars",
         "edited_sha256",
@@ -186,4 +235,5 @@ def compare_edits(docs: DataFrame, kept: np.ndarray, id: str = "doc_id", text: s
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("fingerprint", "next_fingerprint").alias("near_next"),
-    )
+        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
+    ).drop("copy")
