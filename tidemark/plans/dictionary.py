@@ -19,7 +19,7 @@ _DELETED = {"is_deleted": "True if the newest change is a delete; the row is kep
 _STAGING = {
     "stg_orders": {
         "order_id": "Order, one row each.",
-        "user_id": "Customer who placed the order.",
+        "user_id": "Buyer; joins to the customers.",
         "status": "Lifecycle status after the newest change.",
         "total_amount": "Order amount.",
         "created_at": "When the order was placed; not an ordering key for changes.",
@@ -51,7 +51,7 @@ _STAGING = {
 _SILVER = {
     "core_orders": {
         "order_id": "Order, one row each.",
-        "user_id": "Customer who placed the order.",
+        "user_id": "Buyer; joins to the customers.",
         "full_name": "Name of the customer.",
         "city": "City of the customer.",
         "status": "Lifecycle status.",
@@ -84,7 +84,7 @@ _GOLD = {
         "unique_customers": "Customers with an order on the day.",
     },
     "mart_sales_by_category": {
-        "category": "Product category.",
+        "category": "What the sold products are filed under, one row each.",
         "total_orders": "Live revenue orders with a line in the category.",
         "total_quantity": "Units sold.",
         "total_revenue": "Sum of the line totals.",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Statements that may start a query, words that may not occur in one.
 READ_WORDS = ("select", "with", "show", "describe", "desc")
@@ -14,9 +16,7 @@ WRITE_WORDS = (
 )
 DISPLAY_ROWS = 100
 
-_STARTS_READ = re.compile(rf"(?:{'|'.join(READ_WORDS)})\b")
-_HAS_WRITE = re.compile(rf"\b(?:{'|'.join(WRITE_WORDS)})\b")
-_TABLE_NAME = re.compile(r"[A-Za-z0-9_.]+")
+_WORD = re.compile(r"[a-z0-9_]+")
 
 
 class Rejected(ValueError):
@@ -36,60 +36,59 @@ def catalog_tables(spark: SparkSession) -> DataFrame:
 
 def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
     """(col_name, data_type) of a table."""
-    if not _TABLE_NAME.fullmatch(table):
-        raise Rejected("Invalid table name.")
+    if not all(part.isidentifier() for part in table.split(".")):
+        raise Rejected(f"{table!r} names no table")
     fields = spark.table(table).schema.fields
     return spark.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in fields], "col_name string, data_type string"
     )
 
 
-def safe_sql(spark: SparkSession, text: str) -> DataFrame:
-    """The query's result, if the text starts as a read and names no write.
+def check_read(text: str) -> str:
+    """The statement without its end marks, if its words are those of a read.
 
     The test is on words alone: it also turns away harmless texts with such a word in a
     literal, or with a comment or a parenthesis in front.
     """
-    query = text.strip().rstrip(";").strip()
-    words = query.lower()
-    if not _STARTS_READ.match(words):
-        raise Rejected("Rejected: only SELECT/WITH/SHOW/DESCRIBE queries can be run.")
-    if _HAS_WRITE.search(words):
-        raise Rejected("Rejected: the query must be read-only (no DDL/DML).")
-    return spark.sql(query)
+    statement = text.strip(" \t\r\n;")
+    opening = re.match(r"[a-z]*", statement.lower()).group()
+    if opening not in READ_WORDS:
+        raise Rejected(f"a query starts with one of {', '.join(READ_WORDS)}; this one with {opening or 'no word'!r}")
+    writes = sorted(set(_WORD.findall(statement.lower())) & set(WRITE_WORDS))
+    if writes:
+        raise Rejected(f"a query may not hold {', '.join(writes)}")
+    return statement
+
+
+def safe_sql(spark: SparkSession, text: str) -> DataFrame:
+    """The result of a query that passes :func:`check_read`."""
+    return spark.sql(check_read(text))
 
 
 def as_text(df: DataFrame, cap: int = DISPLAY_ROWS) -> str:
-    """The first rows as a text table; only those are fetched, the rest is counted."""
-    if not df.columns:
-        return "(no result)"
-    rows = df.limit(cap + 1).collect()
-    lines = [" | ".join(df.columns), "-" * 40]
-    lines += [" | ".join("NULL" if v is None else str(v) for v in row) for row in rows[:cap]]
+    """The first rows as tab-separated text under their column names; no more are computed."""
+    cells = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("\\N")).alias(name) for name in df.columns]
+    rows = df.limit(cap + 1).select(*cells).collect()
+    table = ["\t".join(df.columns), *("\t".join(row) for row in rows[:cap])]
     if len(rows) > cap:
-        lines.append(f"... (showing first {cap} of {df.count()} rows)")
-    return "\n".join(lines)
+        table.append(f"[first {cap} rows]")
+    return "\n".join(table)
 
 
 def run_query(spark: SparkSession, text: str) -> str:
-    """Guarded query to text; what goes wrong is told in the text."""
+    """Guarded query to text. The caller is an agent: it is told what went wrong, and retries."""
     try:
         return as_text(safe_sql(spark, text))
-    except Rejected as refusal:
-        return str(refusal)
-    except Exception as error:  # the caller is an agent: it reads the message and retries
-        return f"Query error: {error}"
+    except (Rejected, PySparkException) as reason:
+        return f"not run: {reason}"
 
 
 def list_tables(spark: SparkSession) -> str:
-    rows = catalog_tables(spark).orderBy("namespace", "table_name").collect()
-    return "\n".join(f"{r.namespace}.{r.table_name}" for r in rows) or "(no tables found)"
+    return as_text(catalog_tables(spark).orderBy("namespace", "table_name"))
 
 
 def describe_table(spark: SparkSession, table: str) -> str:
     try:
         return as_text(catalog_columns(spark, table))
-    except Rejected as refusal:
-        return str(refusal)
-    except Exception as error:
-        return f"Query error: {error}"
+    except (Rejected, PySparkException) as reason:
+        return f"not described: {reason}"
