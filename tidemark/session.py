@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 _FOLDERS: dict[str, str] = {}
 
-#: How much larger rows are as change records than in the given tables, and what one
-#: shuffle partition should hold.
-JSON_GROWTH = 4
-PARTITION_BYTES = 128 << 20
+#: Shuffle partitions that adaptive execution starts from and merges to fair sizes. One high
+#: number for all inputs; a session may be built with another.
+SHUFFLE_PARTITIONS = "2000"
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -25,33 +21,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
-    """Enough shuffle partitions for the tables in ``folder``.
-
-    Only the number that adaptive execution starts from is raised; it merges what turns
-    out small, so a generous number costs little, and too low a one would spill.
-    """
-    size = folder_bytes(spark, folder)
-    wanted = math.ceil(size * JSON_GROWTH / PARTITION_BYTES)
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set(name, str(wanted))
-    return spark
-
-
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below a path; they are listed, not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
 def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": SHUFFLE_PARTITIONS,
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         **conf,
     }
@@ -63,18 +39,15 @@ def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """A folder of this application's own that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local-mode session may go without
-    that setting; a cluster must name a shared folder, because a machine-local one is
-    lost with its machine.
+    It lies under ``spark.checkpoint.dir``, which the session must set: a machine-local
+    folder is lost with its machine.
     """
     context = spark.sparkContext
     app = context.applicationId
     if app not in _FOLDERS:
         shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if not shared:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-            shared = tempfile.mkdtemp(prefix="tidemark-")
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _FOLDERS[app] = f"{shared.rstrip('/')}/tidemark-{app}-{uuid.uuid4().hex[:8]}"
     return _FOLDERS[app]
 

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import folder_bytes
-
-#: Least size of a share when a small table is dealt out.
-SPREAD_BYTES = 256 << 10
-
 
 def table_path(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}.parquet"
@@ -19,17 +14,5 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(folder, name))
 
 
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """A table kept in few files, dealt out to the cores before it fans out.
-
-    A table in at least as many files as there are cores is left as it is: no shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(min(cores, 1 + folder_bytes(spark, path) // SPREAD_BYTES))
-
-
 def epoch_ms(column: str):
     return F.unix_millis(F.col(column).cast("timestamp"))
