@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, rows
 from tidemark.functions.envelope import drop_redelivered, envelope, extract, quarantine
+from tidemark.plans.live import order_changes
 from tidemark.operators.state import entity_state, stage, staged, state_as_of, upsert
 
 
@@ -143,6 +144,9 @@ def test_past_state_cuts_before_ranking(spark):
 
 def test_redelivered_records_count_once(spark):
     value = change("c", after=order(1))
-    log = make_log(spark, "orders", [value, value, value]).withColumn("key", F.lit("1"))
-    [row] = drop_redelivered(log).collect()
-    assert (row.offset, row.timestamp) == (0, datetime(2024, 1, 1))
+    again = value.replace('"ts_ms": 1000}}', '"ts_ms": 9000}}')  # a new send time, the same commit
+    other = change("c", after=order(1), lsn=2)
+    log = make_log(spark, "orders", [value, again, other, value]).withColumn("key", F.lit("1"))
+    assert again != value
+    found = drop_redelivered(order_changes(log)).orderBy("lsn").collect()
+    assert [(r.kafka_offset, r.lsn) for r in found] == [(0, 1), (2, 2)]

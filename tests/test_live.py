@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, ordered, rows
+from tidemark.functions.envelope import drop_redelivered, envelope
 from tidemark.plans import alerts, live
 from tidemark.plans.core import order_flags
 
@@ -142,8 +143,8 @@ def test_trending_window_is_anchored_on_the_newest_minute(spark):
         change("c", after=line(4, 4, 50), ts_ms=101 * minute),
     )
     anchor = spark.createDataFrame([(100 * 60,)], "s bigint").select(F.timestamp_seconds("s").alias("minute"))
-    names = spark.createDataFrame([(2, "Lamp")], "product_id bigint, name string")
-    top = [tuple(r) for r in live.trending_top(found, anchor, names, window=60).collect()]
+    products = envelope(make_log(spark, "products", [change("r", after={"product_id": 2, "name": "Lamp"})]), "product_id")
+    top = [tuple(r) for r in live.trending_top(found, anchor, products, window=60).collect()]
     assert top == [(2, "Lamp", 5), (3, "#3", 5)]
 
 

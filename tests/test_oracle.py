@@ -6,9 +6,9 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
-
+import __spark_entry__
 from conftest import FOLDER
+from tidemark import oracle, registry
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -33,18 +33,18 @@ def by_column(columns, data):
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, duck, name):
-    result = driver.queries()[name](spark, FOLDER)
-    cursor = duck.execute(driver.oracle_sql()[name])
+    result = registry.queries()[name](spark, FOLDER)
+    cursor = duck.execute(oracle.oracle_sql()[name])
     expected = by_column([c[0] for c in cursor.description], cursor.fetchall())
     assert by_column(result.columns, [tuple(r) for r in result.collect()]) == expected
 
 
 def test_entry(spark):
-    result = driver.entry(spark)
+    result = __spark_entry__.entry(spark)
     assert result.columns == ["category", "total_orders", "total_quantity", "total_revenue"]
     assert result.count() == 6

@@ -2,22 +2,21 @@
 
 import pytest
 
-import __spark_entry__ as driver
-
 from conftest import FOLDER
+from tidemark import registry
 from tidemark.lake import lake
 from tidemark.sources.log import read_log
 
-STREAMS = {name for name in driver.queries() if name.endswith("_stream")}
+STREAMS = {name for name in registry.queries() if name.endswith("_stream")}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - STREAMS))
 def test_no_all_pairs_join_and_no_python(spark, name):
-    text = plan(driver.queries()[name](spark, FOLDER))
+    text = plan(registry.queries()[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in text
 
@@ -43,12 +42,12 @@ def test_reads_are_pruned(spark):
 
 
 def test_envelope_is_parsed_once(spark):
-    text = plan(driver.queries()["bronze_envelope"](spark, FOLDER))
+    text = plan(registry.queries()["bronze_envelope"](spark, FOLDER))
     assert text.count("from_json") == 1
     assert "Exchange" not in text
 
 
 def test_hot_customers_are_summed_before_the_join(spark):
-    text = plan(driver.queries()["live_orders_by_city"](spark, FOLDER))
+    text = plan(registry.queries()["live_orders_by_city"](spark, FOLDER))
     order_side = text[text.index("Join") :]
     assert "partial_count(1)" in order_side

@@ -12,7 +12,7 @@ from tidemark.plans import alerts, live
 from tidemark.sources.log import read_log, write_log
 from tidemark.streaming import alerts as alert_stream
 from tidemark.streaming import jobs
-from tidemark.streaming.sinks import append_batch, finish, fold_batch, read_appended, read_newest
+from tidemark.streaming.sinks import append_batch, finish, fold_batch, merge_batch, read_appended, read_merged, read_newest
 
 
 def orders(*statuses, first=0):
@@ -52,7 +52,7 @@ def test_replayed_batch_is_not_doubled(spark, tmp_path):
 
 def test_replayed_fold_is_not_doubled(spark, tmp_path):
     path, schema = str(tmp_path / "sums"), jobs.METRIC_SCHEMA
-    sink = fold_batch(path, schema, lambda before, batch: live.merge_sums(before.unionByName(batch)))
+    sink = fold_batch(path, schema, lambda before, batch, number: live.merge_sums(before.unionByName(batch)))
     batch = spark.createDataFrame([("m", "k", 1, 5)], "metric string, key string, value int, newest_ms bigint")
     batch = batch.withColumn("value", F.col("value").cast(live.MONEY))
     for number in (0, 1, 1, 2, 2):
@@ -72,22 +72,59 @@ def test_live_counters_over_several_batches(spark, tmp_path):
         write_log(make_log(spark, "orders", values, first=10 * i), log)
     write_log(make_log(spark, "users", [change("r", after={"user_id": 1, "city": "Izmir"})]), log)
     stream = read_log(spark, log, ["orders", "users"], streaming=True, maxFilesPerTrigger="1")
-    finish(jobs.live_counters(stream, lambda: users, root, every=None))
+    finish(jobs.live_counters(stream, lambda buyers: users, root, every=None))
     batch = live.live_metrics(read_log(spark, log, ["orders"]), read_log(spark, log, ["users"]), users)
     assert rows(jobs.read_metrics(spark, root)) == rows(batch)
 
 
-def test_trending_closes_minutes_by_event_time(spark, tmp_path):
+def test_live_counters_leave_out_what_was_delivered_before(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    users = spark.createDataFrame([(1, "Izmir", False)], "user_id bigint, city string, is_deleted boolean")
+    values = orders("CREATED", "PAID") + [change("u", before=order(0), after=order(0, "PAID"), lsn=9)]
+    again = [value.replace('"ts_ms": 1000}}', '"ts_ms": 2000}}') for value in values]
+    assert again != values
+    for i, part in enumerate((values, again, values + orders("PAID", first=2))):
+        write_log(make_log(spark, "orders", part, first=10 * i), log)
+    stream = lambda: read_log(spark, log, ["orders"], streaming=True, maxFilesPerTrigger="1")
+    finish(jobs.live_counters(stream(), lambda buyers: users, root, every=None))
+    found = {(r.metric, r.key): int(r.value) for r in jobs.read_metrics(spark, root).collect()}
+    assert found["orders_total", ""] == 3 and found["revenue_net", ""] == 30 and found["events_processed", "orders"] == 4
+    finish(jobs.live_counters(stream(), lambda buyers: users, f"{root}/all", every=None, redelivered=False))
+    found = {(r.metric, r.key): int(r.value) for r in jobs.read_metrics(spark, f"{root}/all").collect()}
+    assert found["orders_total", ""] == 7
+
+
+def test_merged_batches_survive_replay_and_folding(spark, tmp_path):
+    path, schema = str(tmp_path / "minutes"), "minute timestamp, product_id bigint, units bigint"
+    sink = merge_batch(path, schema, jobs.total_units, every=2)
+    batch = lambda n: spark.createDataFrame([(1, n)], "product_id bigint, units bigint").selectExpr("timestamp_seconds(60) as minute", "product_id", "units")
+    for number, units in ((0, 1), (1, 10), (1, 10), (2, 100), (3, 1000), (3, 1000), (4, 10000)):
+        sink(batch(units), number)
+        sink(batch(units), number)
+    assert [r.units for r in read_merged(spark, path, schema, jobs.total_units).collect()] == [11111]
+    assert [r.units for r in read_merged(spark, path, schema, jobs.total_units, before=3).collect()] == [111]
+
+
+def test_late_lines_are_added_to_their_minutes(spark, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path)
     line = {"order_item_id": 1, "product_id": 1, "quantity": 2}
-    write_log(make_log(spark, "order_items", [change("c", after=line, ts_ms=60_000), change("c", after=line, ts_ms=61_000)]), log)
-    run = lambda: finish(jobs.trending_minutes(read_log(spark, log, ["order_items"], streaming=True), root, every=None))
-    run()
-    write_log(make_log(spark, "order_items", [change("c", after=line, ts_ms=6 * 3_600_000)], first=2), log)
-    run()
-    # Two hours past the newest event every earlier minute is closed.
-    found = read_appended(spark, f"{root}/minutes", jobs.MINUTE_SCHEMA)
-    assert rows(found.select(F.unix_timestamp("minute"), "product_id", "units")) == [(60, 1, 4)]
+    for i, ts_ms in enumerate((60_000, 6 * 3_600_000, 61_000)):
+        write_log(make_log(spark, "order_items", [change("c", after=line, ts_ms=ts_ms)], first=i), log)
+    stream = read_log(spark, log, ["order_items"], streaming=True, maxFilesPerTrigger="1")
+    finish(jobs.trending_minutes(stream, root, every=None))
+    found = jobs.read_minutes(spark, root).select(F.unix_timestamp("minute"), "product_id", "units")
+    assert rows(found) == [(60, 1, 4), (21600, 1, 2)]
+    assert jobs.read_minutes(spark, root, kept=60).count() == 1
+
+
+def test_readings_out_of_order_do_not_alert_twice(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    for offset, stock in ((100, 3), (50, 20), (120, 4)):
+        write_log(make_log(spark, "inventory", [change("u", after={"product_id": 1, "stock_qty": stock}, ts_ms=offset)], first=offset), log)
+    stream = read_log(spark, log, ["inventory"], streaming=True, maxFilesPerTrigger="1")
+    finish(alert_stream.raise_alerts(stream, root, every=None))
+    batch = alerts.stock_alerts(alerts.stock_readings(read_log(spark, log, ["inventory"])))
+    assert rows(alert_stream.read_alerts(spark, root)) == rows(batch) and batch.count() == 1
 
 
 def test_alert_stream_remembers_across_batches(spark, tmp_path):

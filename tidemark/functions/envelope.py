@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.domain import OPS
 
+#: Partition column of bronze tables.
+MONTH = "commit_month"
+
 # The images stay JSON text, so a column the source adds later is still captured.
 _ENVELOPE = (
     "payload struct<op:string, before:string, after:string, ts_ms:string, "
@@ -73,11 +76,27 @@ def envelope(log: DataFrame, key: str) -> DataFrame:
     )
 
 
+def with_month(bronze: DataFrame) -> DataFrame:
+    """Bronze rows with the month of their commit, which bronze is partitioned by."""
+    return bronze.withColumn(MONTH, F.to_date(F.date_trunc("month", F.timestamp_millis("ts_ms"))))
+
+
+def between(bronze: DataFrame, first_ms: int | None = None, last_ms: int | None = None) -> DataFrame:
+    """Changes committed from one time to another, both included. Other months are not read."""
+    for limit, keep in ((first_ms, lambda c, x: c >= x), (last_ms, lambda c, x: c <= x)):
+        if limit is not None:
+            bronze = bronze.where(keep(F.col("ts_ms"), F.lit(limit)))
+            if MONTH in bronze.columns:
+                month = F.to_date(F.date_trunc("month", F.timestamp_millis(F.lit(limit))))
+                bronze = bronze.where(keep(F.col(MONTH), month))
+    return bronze
+
+
 def quarantine(log: DataFrame, key: str) -> DataFrame:
     """Log records that cannot serve, each with the first reason that applies.
 
-    All but those without a key are kept out of bronze; a keyless change is landed
-    too, where the not-null check on the bronze key reports it.
+    All but those without a key or a commit time are kept out of bronze; those are landed
+    too, where the not-null check on the bronze key reports the keyless ones.
     """
     reason = (
         F.when(F.col("value").isNull(), "tombstone")
@@ -86,6 +105,7 @@ def quarantine(log: DataFrame, key: str) -> DataFrame:
         .when(F.col("op").isNull(), "no op")
         .when(~known_op(F.col("op")), "unknown op")
         .when(image_key(key).isNull(), "no key")
+        .when(F.col("ts_ms").isNull(), "no time")
     )
     return (
         decode(log)
@@ -129,6 +149,7 @@ def images(log: DataFrame, fields: str) -> DataFrame:
         .where(payload.isNotNull())
         .select(
             "topic",
+            "key",
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
             payload["op"].alias("op"),
@@ -154,14 +175,15 @@ def commit_times(log: DataFrame) -> DataFrame:
     )
 
 
-def drop_redelivered(log: DataFrame) -> DataFrame:
-    """One record per change: a connector redelivers the same text at a new offset.
+def drop_redelivered(changes: DataFrame) -> DataFrame:
+    """One row per change, from rows of :func:`images`.
 
-    Grouping collapses copies before the shuffle, so a heavily repeated record stays
-    cheap. The earliest position is kept.
+    A connector that reads its source again sends a change at a new offset and with a new
+    send time; its row key, place in the source, commit time, operation and images stay.
+    Those are compared, as typed columns, so no JSON text is shuffled, and copies are
+    collapsed in the map tasks. The earliest offset is kept, with its partition.
     """
-    return (
-        log.groupBy("topic", "partition", "key", "value")
-        .agg(F.min("offset").alias("offset"), F.min("timestamp").alias("timestamp"))
-        .select("topic", "partition", "offset", "timestamp", "key", "value")
-    )
+    place = ("kafka_offset", "kafka_partition")
+    same = [name for name in changes.columns if name not in place]
+    earliest = F.min(F.struct(*place)).alias("place")
+    return changes.groupBy(*same).agg(earliest).select(*same, "place.*").select(*changes.columns)

@@ -13,6 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch
+
+def landed(df: DataFrame) -> DataFrame:
+    """``df`` as a table: both the rows and the summaries of their segments are read from it,
+    so what stands below, a log and its parsing, is read once."""
+    path = scratch(df.sparkSession, "scan")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: A segment spans 2**20 log positions, which bounds the rows of one window group.
 SEGMENT_BITS = 20
 

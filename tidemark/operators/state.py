@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.domain import FIELDS, KEYS
-from tidemark.functions.envelope import extract, known_op
+from tidemark.functions.envelope import MONTH, between, extract, known_op
 
 LOG_ORDER = ("lsn", "ts_ms", "kafka_offset")
 
@@ -37,7 +37,7 @@ def active(df: DataFrame) -> DataFrame:
 
 def latest_rows(bronze: DataFrame, entity: str) -> DataFrame:
     """Latest bronze row of every key, its payload unread."""
-    known = bronze.where(known_op(F.col("op"))).drop("kafka_partition")
+    known = bronze.where(known_op(F.col("op"))).drop("kafka_partition", MONTH)
     return latest_by_key(known, [KEYS[entity]])
 
 
@@ -60,9 +60,20 @@ def stage(bronze: DataFrame, entity: str, *fields: str) -> DataFrame:
     return staged(entity_state(bronze, entity, *fields), entity, *fields)
 
 
+def stage_of(bronze: DataFrame, entity: str, few: DataFrame, *fields: str) -> DataFrame:
+    """The staging view of the few rows whose keys ``few`` holds, a result of ``limit k``.
+
+    All versions of a key are kept or none, so the ranking sees whole histories; rows of
+    other keys go before it. A semi join may broadcast its small side, a right join not.
+    """
+    key = KEYS[entity]
+    kept = bronze.join(F.broadcast(few.select(key).where(F.col(key).isNotNull()).distinct()), key, "left_semi")
+    return stage(kept, entity, *fields)
+
+
 def state_as_of(bronze: DataFrame, entity: str, cutoff_ms: int) -> DataFrame:
     """The staging view as it stood at a commit time: cut first, then rank."""
-    return stage(bronze.where(F.col("ts_ms") <= cutoff_ms), entity)
+    return stage(between(bronze, last_ms=cutoff_ms), entity)
 
 
 def upsert(state: DataFrame, changes: DataFrame, entity: str) -> DataFrame:

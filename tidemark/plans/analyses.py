@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.domain import DEFAULT_CITY
 from tidemark.functions.columns import event_time, percent
-from tidemark.functions.envelope import extract
-from tidemark.operators.scans import carry_forward, previous
-from tidemark.operators.state import LOG_ORDER, active, latest_rows, soft_delete
+from tidemark.functions.envelope import MONTH, extract
+from tidemark.operators.scans import carry_forward, landed, previous
+from tidemark.operators.state import LOG_ORDER, active, latest_rows, soft_delete, stage_of
 from tidemark.plans.marts import sales_by_category
 
 
@@ -23,7 +23,7 @@ def order_history(bronze_orders: DataFrame) -> DataFrame:
     changes = events.groupBy("order_id", "lsn", "ts_ms", "op", "status").agg(
         F.min("kafka_offset").alias("kafka_offset")
     )
-    with_before = previous(changes, "order_id", LOG_ORDER, "status", "old_status")
+    with_before = previous(landed(changes), "order_id", LOG_ORDER, "status", "old_status")
     return with_before.select(
         "order_id",
         "lsn",
@@ -86,7 +86,7 @@ def burn_rate(readings: DataFrame) -> DataFrame:
     A fall between two readings is a sale, a rise is a restock. ``readings`` has
     product_id, stock_qty, ts_ms and kafka_offset.
     """
-    steps = previous(readings, "product_id", ["kafka_offset"], "stock_qty", "before_qty")
+    steps = previous(landed(readings), "product_id", ["kafka_offset"], "stock_qty", "before_qty")
     sold = F.greatest(F.col("before_qty") - F.col("stock_qty"), F.lit(0))
     day = F.to_date(event_time(F.col("ts_ms")))
     per_product = steps.groupBy("product_id").agg(
@@ -106,7 +106,7 @@ def burn_rate(readings: DataFrame) -> DataFrame:
     )
 
 
-def top_customers(orders: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
+def top_customers(orders: DataFrame, bronze_users: DataFrame, k: int = 10) -> DataFrame:
     """The customers with the most recognised spend; ranked first, named after."""
     best = (
         active(orders)
@@ -115,17 +115,18 @@ def top_customers(orders: DataFrame, users: DataFrame, k: int = 10) -> DataFrame
         .orderBy(F.desc("spend"), "user_id")
         .limit(k)
     )
-    # At most k rows, so broadcasting them is safe; the users stay where they are.
-    named = users.select("user_id", "full_name", "city").join(F.broadcast(best), "user_id", "right")
+    names = stage_of(bronze_users, "users", best, "full_name", "city")
+    named = best.join(names, "user_id", "left")
     return named.select("user_id", "full_name", "city", "spend", "orders").orderBy(F.desc("spend"), "user_id")
 
 
 def cancelled_recently(bronze_orders: DataFrame, hours: int = 1) -> DataFrame:
     """Orders cancelled within the last hours of the log's own clock."""
     end = bronze_orders.agg(F.max("ts_ms").alias("end_ms"))
-    recent = bronze_orders.where(F.col("op") != "d").where(
-        F.col("ts_ms") > end.scalar() - hours * 3_600_000
-    )
+    first = end.scalar() - hours * 3_600_000
+    recent = bronze_orders.where(F.col("op") != "d").where(F.col("ts_ms") > first)
+    if MONTH in recent.columns:  # months before are not read
+        recent = recent.where(F.col(MONTH) >= F.to_date(F.date_trunc("month", F.timestamp_millis(first))))
     events = extract(recent, {"user_id": ("$.user_id", "bigint"), "status": ("$.status", "string")})
     return (
         events.where(F.col("status") == "CANCELLED")
@@ -167,7 +168,7 @@ def orders_by_city_then(creations: DataFrame, versions: DataFrame) -> DataFrame:
     ).unionByName(
         versions.select("user_id", "lsn", F.lit(0).alias("kind"), "city", F.lit(0).cast("bigint").alias("n"))
     )
-    known = carry_forward(history, "user_id", ["lsn", "kind"], "city", "city_then")
+    known = carry_forward(landed(history), "user_id", ["lsn", "kind"], "city", "city_then")
     city = F.coalesce("city_then", F.lit(DEFAULT_CITY))
     return known.where("kind = 1").groupBy(city.alias("city")).agg(F.sum("n").alias("n"))
 

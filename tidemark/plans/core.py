@@ -24,8 +24,10 @@ def order_flags(orders: DataFrame) -> DataFrame:
 def core_orders(orders: DataFrame, users: DataFrame) -> DataFrame:
     """Every order, deleted ones flagged, with its customer's name and city.
 
-    No join hint: Spark broadcasts the users while they are small enough, and beyond
-    that splits the orders of a hot customer (adaptive skew join).
+    No join hint: Spark broadcasts the users while they are small enough. Beyond that it
+    splits the orders of a hot customer (adaptive skew join), if both inputs are tables:
+    a staging plan brings the partitioning of its ranking along, and then there is no
+    shuffle of the join's own to split.
     """
     customer = users.select("user_id", "full_name", "city")
     return order_flags(orders).join(customer, "user_id", "left").select(

@@ -17,6 +17,7 @@ from tidemark.domain import (
 )
 from tidemark.functions.columns import event_minute, event_time, is_revenue, or_default, percent
 from tidemark.functions.envelope import commit_times, images
+from tidemark.operators.state import stage_of
 
 ORDER_IMAGE = "order_id:string, user_id:string, status:string, total_amount:string"
 ITEM_IMAGE = "order_item_id:string, product_id:string, quantity:string"
@@ -47,15 +48,16 @@ def _counted() -> Column:
     return F.coalesce(F.col("op"), F.col("ts_ms").cast("string")).isNotNull()
 
 
-def order_moves(changes: DataFrame) -> DataFrame:
+def order_moves(changes: DataFrame, by_user: bool = True) -> DataFrame:
     """Order changes summed by what decides their effect: kind, old and new status.
 
     There are few such combinations, so almost all of the summing happens in the map
-    tasks. New orders are also kept apart by customer.
+    tasks. With ``by_user`` new orders are also kept apart by customer.
     """
     op, before, after = F.col("op"), F.col("before"), F.col("after")
     kind = (
-        F.when(op.isin(*CREATE_OPS) & _present(after), "new")
+        F.when(F.col("topic") != "orders", "void")
+        .when(op.isin(*CREATE_OPS) & _present(after), "new")
         .when((op == "u") & _present(after), "changed")
         .when((op == "d") & _present(before), "gone")
         .otherwise("void")
@@ -69,7 +71,7 @@ def order_moves(changes: DataFrame) -> DataFrame:
             kind.alias("kind"),
             F.nullif(before["status"], F.lit("")).alias("old"),
             F.when(kind == "new", F.coalesce(status, F.lit(DEFAULT_STATUS))).otherwise(status).alias("new"),
-            F.when(kind == "new", F.coalesce(after["user_id"], F.lit(""))).alias("user_id"),
+            (F.when(kind == "new", F.coalesce(after["user_id"], F.lit(""))) if by_user else F.lit(None).cast("string")).alias("user_id"),
             amount(before).alias("old_amount"),
             amount(after).alias("new_amount"),
             "ts_ms",
@@ -89,7 +91,7 @@ def _delta(metric: str, key: Column, change: Column, when: Column) -> Column:
     return F.when(when, row)
 
 
-def order_deltas(changes: DataFrame) -> DataFrame:
+def order_deltas(changes: DataFrame, by_user: bool = True) -> DataFrame:
     """(metric, key, delta, ts_ms) rows of order changes.
 
     * an order is counted once, when it is created or read in a snapshot;
@@ -97,7 +99,8 @@ def order_deltas(changes: DataFrame) -> DataFrame:
     * revenue is added on entry into a revenue status and taken back on leaving it, by
       the new image's amount; a delete takes back the old image's amount;
     * with no before image the old status is unknown: no status moves, revenue is added;
-    * any change at all counts as an event of its topic.
+    * any change at all counts as an event of its topic, and those of topics other than
+      orders as nothing else.
     """
     kind, old, new, n = F.col("kind"), F.col("old"), F.col("new"), F.col("n")
     created, updated, deleted = kind == "new", kind == "changed", kind == "gone"
@@ -111,13 +114,13 @@ def order_deltas(changes: DataFrame) -> DataFrame:
         _delta(TOTAL, none, n, created),
         _delta(STATUS, new, n, created | moved),
         _delta(STATUS, old, -n, moved | (deleted & old.isNotNull())),
-        _delta(BY_USER, F.col("user_id"), n, created),
+        _delta(BY_USER, F.col("user_id"), n, created & F.lit(by_user)),
         _delta(REVENUE, none, F.col("new_amount"), (created & is_revenue(new)) | entered),
         _delta(REVENUE, none, -F.col("new_amount"), left),
         _delta(REVENUE, none, -F.col("old_amount"), deleted & is_revenue(old)),
     )
     found = F.filter(deltas, lambda d: d.isNotNull())
-    return order_moves(changes).select("ts_ms", F.explode(found).alias("d")).select("d.*", "ts_ms")
+    return order_moves(changes, by_user).select("ts_ms", F.explode(found).alias("d")).select("d.*", "ts_ms")
 
 
 def event_deltas(log: DataFrame) -> DataFrame:
@@ -157,7 +160,7 @@ def net_revenue(changes: DataFrame) -> DataFrame:
 
 
 def _metric(changes: DataFrame, metric: str) -> DataFrame:
-    return sum_deltas(order_deltas(changes).where(F.col("metric") == metric))
+    return sum_deltas(order_deltas(changes, by_user=False).where(F.col("metric") == metric))
 
 
 def user_city(users: DataFrame) -> DataFrame:
@@ -248,20 +251,25 @@ def trending_minute(changes: DataFrame) -> DataFrame:
     )
 
 
+def within(time: Column, anchor: DataFrame, window: int) -> Column:
+    """Whether a time lies in the ``window`` minutes that end with the anchor minute."""
+    last = anchor.scalar()
+    return (time > last - F.make_dt_interval(mins=F.lit(window))) & (time < last + F.make_dt_interval(mins=F.lit(1)))
+
+
 def trending_top(
-    minutes: DataFrame, anchor: DataFrame, names: DataFrame, window: int = TRENDING_MINUTES, k: int = 10
+    minutes: DataFrame, anchor: DataFrame, bronze_products: DataFrame, window: int = TRENDING_MINUTES, k: int = 10
 ) -> DataFrame:
     """Best sellers of the window that ends at the anchor minute; ties by product id."""
-    age = F.unix_timestamp(anchor.scalar()) - F.unix_timestamp("minute")
     best = (
-        minutes.where(F.floor(age / (window * 60)) == 0)  # 0 <= age < window
+        minutes.where(within(F.col("minute"), anchor, window))
         .groupBy("product_id")
         .agg(F.sum("units").alias("units"))
         .orderBy(F.desc("units"), "product_id")
         .limit(k)
     )
-    # At most k rows, so broadcasting them is safe.
-    named = names.join(F.broadcast(best), "product_id", "right")
+    names = product_name(stage_of(bronze_products, "products", best, "name"))
+    named = best.join(names, "product_id", "left")
     return named.select(
         "product_id", F.coalesce("name", _number(F.col("product_id"))).alias("name"), "units"
     ).orderBy(F.desc("units"), "product_id")

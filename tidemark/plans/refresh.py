@@ -28,7 +28,12 @@ def create_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
 
 
 def create_table(spark: SparkSession, name: str, schema: str, path: str) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet LOCATION '{path}'")
+    """A table over a folder and its sub-folders, whose names are not columns of it. The files
+    are listed anew, as streams may have added to them."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'"
+    )
+    spark.catalog.refreshTable(name)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str) -> DataFrame:
@@ -40,11 +45,14 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str) -> D
     path = f"{root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     written = spark.read.parquet(path)
-    if spark.catalog.tableExists(name):
+    known = spark.table(name).schema if spark.catalog.tableExists(name) else None
+    if known and [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in written.schema]:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
-    else:
-        create_table(spark, name, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema), path)
+        return written
+    if known:  # an external table: dropping its definition leaves the files
+        spark.sql(f"DROP TABLE {name}")
+    create_table(spark, name, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema), path)
     return written
 
 
@@ -85,7 +93,7 @@ def refresh(
     if "checks" in layers:
         result = replace_table(spark, dq_report(spark, tables), f"{prefix}meta.dq_report", root)
         tables["dq_report"] = result
-        failed = result.where("verdict = 'error'").limit(20).collect()
+        failed = result.where("verdict = 'error'").collect()  # 74 checks at most
         if failed:
             names = ", ".join(f"{r.kind} {r.table_name}.{r.column_name} ({r.violations})" for r in failed)
             raise RuntimeError(f"data checks failed: {names}")

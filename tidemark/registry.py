@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.domain import CITY_WEIGHTS, CREATE_OPS, INVENTORY, KEYS
-from tidemark.functions.envelope import drop_redelivered, envelope, extract, images, quarantine
+from tidemark.functions.envelope import between, drop_redelivered, envelope, extract, images, quarantine
 from tidemark.lake import Lake, lake
 from tidemark.operators import quality
 from tidemark.operators.assign import weighted_assignment
@@ -20,7 +20,7 @@ from tidemark.sources.log import read_log
 from tidemark.sources.tables import read_table
 from tidemark.streaming import alerts as alert_stream
 from tidemark.streaming import jobs
-from tidemark.streaming.sinks import finish, read_newest
+from tidemark.streaming.sinks import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,8 +105,8 @@ def incremental_orders(at: Lake) -> DataFrame:
     """State up to the cutoff, then brought forward by the later changes."""
     bronze = at.bronze("orders")
     path = scratch(at.spark, "orders-state")
-    incremental.write_state(bronze.where(F.col("ts_ms") <= CUTOFF_MS), "orders", path, shards=8)
-    state = incremental.apply_changes(at.spark, bronze, "orders", path, CUTOFF_MS, shards=8)
+    incremental.write_state(between(bronze, last_ms=CUTOFF_MS), "orders", path)
+    state = incremental.apply_changes(at.spark, bronze, "orders", path, CUTOFF_MS)
     return staged(state, "orders")
 
 
@@ -145,12 +145,12 @@ def order_flags(at: Lake) -> DataFrame:
 
 @query
 def core_orders(at: Lake) -> DataFrame:
-    return core.core_orders(at.stage("orders"), at.stage("users"))
+    return core.core_orders(at.staged("orders"), at.staged("users"))
 
 
 @query
 def core_order_items(at: Lake) -> DataFrame:
-    return core.core_order_items(at.stage("order_items"), at.stage("products"))
+    return core.core_order_items(at.staged("order_items"), at.staged("products"))
 
 
 @query
@@ -162,19 +162,19 @@ def mart_daily_revenue(at: Lake) -> DataFrame:
 @query
 def mart_sales_by_category(at: Lake) -> DataFrame:
     # Of the orders only status and deletion mark matter.
-    items = core.core_order_items(at.stage("order_items"), at.stage("products", "name", "category"))
-    return marts.sales_by_category(items, at.stage("orders", "status"))
+    items = core.core_order_items(at.staged("order_items"), at.staged("products"))
+    return marts.sales_by_category(items, at.staged("orders"))
 
 
 @query
 def order_header(at: Lake) -> DataFrame:
-    return core.order_header(at.stage("orders"), at.stage("users", "full_name", "city"))
+    return core.order_header(at.staged("orders"), at.staged("users"))
 
 
 @query
 def order_detail(at: Lake) -> DataFrame:
-    header = core.order_header(at.stage("orders"), at.stage("users", "full_name", "city"))
-    return core.order_lines(header, at.stage("order_items"), at.stage("products", "name", "category"))
+    header = core.order_header(at.staged("orders"), at.staged("users"))
+    return core.order_lines(header, at.staged("order_items"), at.staged("products"))
 
 
 # --- analyses -----------------------------------------------------------------------
@@ -192,7 +192,7 @@ def time_to_payment(at: Lake) -> DataFrame:
 
 @query
 def cancellations_by_city(at: Lake) -> DataFrame:
-    return analyses.cancellations_by_city(core.core_orders(at.stage("orders"), at.stage("users")))
+    return analyses.cancellations_by_city(core.core_orders(at.staged("orders"), at.staged("users")))
 
 
 @query
@@ -207,7 +207,7 @@ def burn_rate(at: Lake) -> DataFrame:
 
 @query
 def top_customers(at: Lake) -> DataFrame:
-    return analyses.top_customers(core.order_flags(at.stage("orders")), at.stage("users"))
+    return analyses.top_customers(core.order_flags(at.stage("orders")), at.bronze("users"))
 
 
 @query
@@ -217,8 +217,8 @@ def cancelled_recent(at: Lake) -> DataFrame:
 
 @query
 def best_category_month(at: Lake) -> DataFrame:
-    items = core.core_order_items(at.stage("order_items"), at.stage("products"))
-    return analyses.best_category_of_last_month(items, at.stage("orders"))
+    items = core.core_order_items(at.staged("order_items"), at.staged("products"))
+    return analyses.best_category_of_last_month(items, at.staged("orders"))
 
 
 @query
@@ -271,7 +271,7 @@ def _event_sums(at: Lake, *topics: str) -> DataFrame:
 
 
 def _top(at: Lake, metrics: DataFrame) -> DataFrame:
-    return live.trending_top(_minutes(at), live.last_minute(metrics), live.product_name(at.stage("products", "name")))
+    return live.trending_top(_minutes(at), live.last_minute(metrics), at.bronze("products"))
 
 
 @query
@@ -282,9 +282,9 @@ def live_metrics(at: Lake) -> DataFrame:
 @query
 def live_metrics_redelivered(at: Lake) -> DataFrame:
     """The order metrics from a log with repeated records, each counted once."""
-    log = drop_redelivered(changelog.redelivered(at.log("orders")))
-    sums = live.sum_deltas(live.order_deltas(live.order_changes(log)))
-    return sums.where(F.col("metric") != live.BY_USER).drop("newest_ms")
+    changes = drop_redelivered(live.order_changes(changelog.redelivered(at.log("orders"))))
+    sums = live.sum_deltas(live.order_deltas(changes))
+    return live.with_cities(sums, live.user_city(at.stage("users", "city"))).drop("newest_ms")
 
 
 @query
@@ -357,7 +357,8 @@ def live_summary(at: Lake) -> DataFrame:
 
 @query
 def live_vs_batch_drift(at: Lake) -> DataFrame:
-    return live.drift(_order_sums(at), core.order_flags(at.stage("orders")))
+    sums = live.sum_deltas(live.order_deltas(live.order_changes(at.log("orders")), by_user=False))
+    return live.drift(sums, core.order_flags(at.stage("orders")))
 
 
 @query
@@ -367,11 +368,14 @@ def stock_alerts(at: Lake) -> DataFrame:
 
 # --- streams, run over the whole log to its end -------------------------------------
 
+#: Rate limit: a file of the log per micro-batch. Each topic has three files or more.
+ONE_FILE = {"maxFilesPerTrigger": "1"}
+
 
 @query
 def bronze_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    logs = {entity: read_log(at.spark, at.log_path(entity), topics=[entity], streaming=True) for entity in KEYS}
+    logs = {entity: read_log(at.spark, at.log_path(entity), topics=[entity], streaming=True, **ONE_FILE) for entity in KEYS}
     finish(*jobs.ingest(logs, root, every=None))
     counts = [
         jobs.read_bronze(at.spark, root, entity)
@@ -389,23 +393,27 @@ def bronze_stream(at: Lake) -> DataFrame:
 @query
 def live_metrics_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True)
-    finish(jobs.live_counters(log, lambda: at.stage("users", "city"), root, every=None))
+    log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True, **ONE_FILE)
+
+    def known(buyers: DataFrame) -> DataFrame:
+        return stage(at.bronze("users").join(buyers, "user_id", "left_semi"), "users", "city")
+
+    finish(jobs.live_counters(log, known, root, every=None))
     return jobs.read_metrics(at.spark, root)
 
 
 @query
 def trending_minute_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path("order_items"), topics=["order_items"], streaming=True)
-    finish(jobs.trending_minutes(log, root, every=None, mode="complete"))
-    return read_newest(at.spark, f"{root}/minutes", jobs.MINUTE_SCHEMA)
+    log = read_log(at.spark, at.log_path("order_items"), topics=["order_items"], streaming=True, **ONE_FILE)
+    finish(jobs.trending_minutes(log, root, every=None))
+    return jobs.read_minutes(at.spark, root)
 
 
 @query
 def stock_alerts_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path(INVENTORY), topics=[INVENTORY], streaming=True)
+    log = read_log(at.spark, at.log_path(INVENTORY), topics=[INVENTORY], streaming=True, **ONE_FILE)
     finish(alert_stream.raise_alerts(log, root, every=None))
     return alert_stream.read_alerts(at.spark, root)
 
@@ -418,7 +426,7 @@ def _built(at: Lake) -> dict[str, DataFrame]:
     if at.built is None:
         bronze = {entity: at.bronze(entity) for entity in KEYS}
         at.built = refresh.refresh(
-            at.spark, bronze, f"{at.root}/tables", layers=("staging", "silver", "gold"), prefix=at.prefix
+            at.spark, bronze, at.root, layers=("staging", "silver", "gold"), prefix=at.prefix
         )
     return at.built
 

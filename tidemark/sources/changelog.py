@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.domain import INVENTORY
 from tidemark.operators.scans import running_sum
 from tidemark.session import scratch
-from tidemark.sources.tables import epoch_ms, read_table, spread, table_path
+from tidemark.sources.tables import epoch_ms, read_table
 
 # Lifecycle paths by order key modulo 100, as half-open bands.
 PATHS = (
@@ -83,7 +83,7 @@ def _utc(column: str) -> Column:
 
 def orders_log(spark: SparkSession, folder: str) -> DataFrame:
     """One create per order, one update per further hop, at times a final delete."""
-    orders = spread(read_table(spark, folder, "orders"), table_path(folder, "orders")).select(
+    orders = read_table(spark, folder, "orders").select(
         "o_orderkey",
         "o_custkey",
         F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
@@ -333,11 +333,14 @@ def damaged(log: DataFrame) -> DataFrame:
 
 
 def redelivered(log: DataFrame) -> DataFrame:
-    """The same log with some records sent again at later offsets."""
+    """The same log with some records sent again: at later offsets, and with a later send time."""
     key = F.col("key").cast("bigint")
     copies = F.when(F.pmod(key, F.lit(20)) == 1, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
+    sent = F.regexp_extract("value", r'"ts_ms":([0-9]+)\}\}$', 1).cast("bigint") + F.col("_copy") * MINUTE_MS
+    again = F.concat(F.regexp_replace("value", r"[0-9]+\}\}$", ""), sent.cast("string"), F.lit("}}"))
     return (
         log.withColumn("_copy", F.explode(copies))
         .withColumn("offset", F.col("offset") + F.col("_copy") * F.lit(1 << 40))
+        .withColumn("value", F.when(F.col("_copy") == 0, F.col("value")).otherwise(again))
         .drop("_copy")
     )

@@ -11,8 +11,10 @@ from tidemark.domain import LOG_SCHEMA
 
 
 def write_log(log: DataFrame, path: str) -> None:
-    """Append records to a file log, one sub-folder per topic."""
-    log.write.mode("append").partitionBy("topic").parquet(path)
+    """Append records to a file log: a sub-folder per topic and log partition, whose records
+    lie in files by ranges of offsets."""
+    ranged = log.repartitionByRange("topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
+    ranged.write.mode("append").partitionBy("topic", "partition").parquet(path)
 
 
 def read_log(

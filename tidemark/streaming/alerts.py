@@ -1,4 +1,4 @@
-"""Low-stock alerts on a stream, with one remembered flag per product."""
+"""Low-stock alerts on a stream, with one remembered reading per product."""
 
 from __future__ import annotations
 
@@ -9,17 +9,22 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.domain import ALERT_SCHEMA, LOW_STOCK
 from tidemark.plans.alerts import alert_rows, falls, stock_readings
 from tidemark.streaming.jobs import INTERVAL
-from tidemark.streaming.sinks import append_batch, published_before, read_appended, replace_batch, run_stream
+from tidemark.streaming.sinks import append_batch, merge_batch, read_appended, read_merged, run_stream, settled
 
-MEMORY_SCHEMA = "product_id bigint, was_low boolean"
+MEMORY_SCHEMA = "product_id bigint, was_low boolean, last_offset bigint"
 
 
-def remember(memory: DataFrame, readings: DataFrame, threshold: int) -> DataFrame:
-    """Whether each product was low at its last reading, brought forward by a batch."""
-    last = readings.groupBy("product_id").agg(F.max_by("stock_qty", "kafka_offset").alias("stock_qty"))
-    newer = last.select("product_id", (F.col("stock_qty") < threshold).alias("now_low"))
-    both = memory.join(newer, "product_id", "full_outer")
-    return both.select("product_id", F.coalesce("now_low", "was_low").alias("was_low"))
+def latest(memory: DataFrame) -> DataFrame:
+    """Per product the reading of the highest offset."""
+    return memory.groupBy("product_id").agg(
+        F.max_by("was_low", "last_offset").alias("was_low"), F.max("last_offset").alias("last_offset")
+    )
+
+
+def remember(readings: DataFrame, threshold: int) -> DataFrame:
+    """Whether each product of a batch was low at its last reading, and where that was."""
+    read = readings.select("product_id", (F.col("stock_qty") < threshold).alias("was_low"), F.col("kafka_offset").alias("last_offset"))
+    return latest(read)
 
 
 def raise_alerts(
@@ -30,18 +35,24 @@ def raise_alerts(
     The order of a product's readings decides, and one product may send a large share of
     a batch. So a batch is worked out with the batch plan, which cuts long histories into
     segments, instead of product by product in a stateful operator; only the first
-    reading of each product needs the memory. A batch that fails is repeated from the
-    memory before it, so no alert is lost or doubled.
+    reading of each product needs the memory. A batch writes the memory of its own
+    products alone. A reading that arrives after a later one of its product does not count:
+    within a log partition readings arrive in order. A batch that fails is repeated from
+    the memory before it, so no alert is lost or doubled.
     """
     appended = append_batch(f"{root}/ops/stock_alerts")
     path = f"{root}/memory/stock_alerts"
-    publish = replace_batch(path)
+    keep = merge_batch(path, MEMORY_SCHEMA, latest)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        memory = published_before(batch.sparkSession, path, MEMORY_SCHEMA, batch_id)
-        readings = stock_readings(batch)
+        spark = batch.sparkSession
+        readings = settled(stock_readings(batch), f"{root}/work/readings")
+        memory = None
+        if batch_id:
+            own = readings.select("product_id").distinct()
+            memory = read_merged(spark, path, MEMORY_SCHEMA, latest, before=batch_id).join(own, "product_id", "left_semi")
         appended(alert_rows(falls(readings, threshold, memory), threshold), batch_id)
-        publish(remember(memory, readings, threshold), batch_id)
+        keep(remember(readings, threshold), batch_id)
 
     return run_stream(inventory_log, step, f"{root}/checkpoints/stock_alerts", every=every, name="stock-alerts")
 
