@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tidemark.domain import CITY_WEIGHTS
 from tidemark.registry import CUTOFF_MS
-from tidemark.sources.changelog import CUT_SHORT, PATHS
+from tidemark.sources.changelog import CUT_SHORT, PATHS, WRONG_AMOUNT, WRONG_QUANTITY
 
 _PATHS = ", ".join(f"({lo}, {hi}, {list(hops)})" for lo, hi, hops in PATHS)
 _CUTS = " ".join(f"WHEN {residue} THEN {hops}" for residue, hops in CUT_SHORT)
@@ -84,6 +84,17 @@ _PARTS = {
             CAST(sum(ci.line_total) AS DECIMAL(38,2)) AS total_revenue
         FROM ci JOIN so USING (order_id)
         WHERE so.status IN {_REVENUE} AND NOT so.is_deleted AND NOT ci.is_deleted GROUP BY 1)""",
+    # Orders as the faulty source gives them.
+    "fo": f"""fo AS (
+        SELECT order_id, user_id,
+            CASE order_id % 97 WHEN 11 THEN 'LOST' WHEN 12 THEN 'HELD' ELSE status END AS status,
+            CASE WHEN order_id % 97 = 14 THEN CAST({WRONG_AMOUNT} AS DECIMAL(12,2)) ELSE total_amount END AS total_amount,
+            created_at, is_deleted
+        FROM so WHERE order_id % 97 <> 13)""",
+    "fd": f"""fd AS (
+        SELECT CAST(created_at AS DATE) AS order_date,
+            CAST(sum(CASE WHEN status IN {_REVENUE} THEN total_amount ELSE 0 END) AS DECIMAL(22,2)) AS total_revenue
+        FROM fo WHERE NOT is_deleted GROUP BY 1)""",
     # Signed deltas of the live metrics.
     "dl": f"""dl AS (
         SELECT 'orders_total' AS metric, '' AS key, CAST(1 AS DECIMAL(14,2)) AS delta, ts_ms FROM ev WHERE op = 'c'
@@ -142,7 +153,7 @@ _PARTS = {
 }
 _NEEDS = {
     "paths": (), "life": ("paths",), "ord": ("life",), "so": ("ord",), "ev": ("ord",), "su": (), "sp": (), "ln": (),
-    "si": ("ln", "ord"), "co": ("so", "su"), "ci": ("si", "sp"), "daily": ("co",), "cat": ("ci", "so"),
+    "si": ("ln", "ord"), "co": ("so", "su"), "ci": ("si", "sp"), "daily": ("co",), "cat": ("ci", "so"), "fo": ("so",), "fd": ("fo",),
     "dl": ("ev",), "sums": ("dl",), "city": ("ord", "su"), "seen": ("ev", "si"), "met": ("sums", "city", "seen"),
     "mi": ("ln",), "top": ("mi", "sp", "si", "ev"), "st": ("ln",), "fall": ("st",), "cut_ord": ("ev",),
 }
@@ -376,7 +387,8 @@ def oracle_sql() -> dict[str, str]:
                 (SELECT CAST(value AS DOUBLE) FROM met WHERE key = 'DELIVERED')
                 / (SELECT CAST(value AS DOUBLE) FROM met WHERE metric = 'orders_total') * 100, 0) AS DECIMAL(38,2))
             UNION ALL SELECT 'trending', CAST(row_number() OVER (ORDER BY units DESC, product_id) AS INTEGER), name,
-                CAST(units AS DECIMAL(38,2)) FROM top""",
+                CAST(units AS DECIMAL(38,2)) FROM top
+            UNION ALL SELECT 'updated_ms', 1, '', CAST(max(newest_ms) AS DECIMAL(38,2)) FROM met WHERE metric = 'events_processed'""",
             "met", "top",
         ),
         "live_vs_batch_drift": _sql(
@@ -407,8 +419,8 @@ def oracle_sql() -> dict[str, str]:
         "dq_not_null": _report("not_null"),
         "dq_accepted_values": _sql(
             """SELECT 'accepted_values:stg_orders.status' AS name, count(DISTINCT status) AS violations
-            FROM so WHERE status IN ('RETURNED', 'REFUNDED')""",
-            "so",
+            FROM fo WHERE status IN ('LOST', 'HELD')""",
+            "fo",
         ),
         "dq_unique": _sql(
             """SELECT 'unique:bronze.orders.order_id' AS name, count(*) AS violations FROM ord
@@ -419,30 +431,36 @@ def oracle_sql() -> dict[str, str]:
             "ord", "si",
         ),
         "dq_relationships": _sql(
-            f"""SELECT name, violations, CASE WHEN violations > 500 THEN 'error' WHEN violations > 0 THEN 'warn' ELSE 'pass' END AS verdict
+            """SELECT name, violations, CASE WHEN violations > 500 THEN 'error' WHEN violations > 0 THEN 'warn' ELSE 'pass' END AS verdict
             FROM (SELECT 'relationships:stg_order_items.order_id' AS name, count(*) AS violations
-                FROM ln WHERE ts_ms <= {CUTOFF_MS} AND order_id NOT IN (SELECT order_id FROM cut_ord))""",
-            "ln", "cut_ord",
+                FROM ln WHERE order_id % 97 = 13)""",
+            "ln",
         ),
         "dq_category_non_negative": _sql(
-            "SELECT category, total_quantity, total_revenue FROM cat WHERE total_quantity < 0 OR total_revenue < 0", "cat"
+            f"""SELECT * FROM (
+                SELECT category, CAST(sum(q) AS BIGINT) AS total_quantity, CAST(sum(q * unit_price) AS DECIMAL(38,2)) AS total_revenue
+                FROM (SELECT ci.category, ci.order_id, ci.unit_price, ci.is_deleted AS gone, CASE WHEN order_item_id % 97 = 14 THEN {WRONG_QUANTITY} ELSE quantity END AS q FROM ci)
+                JOIN so USING (order_id)
+                WHERE so.status IN {_REVENUE} AND NOT so.is_deleted AND NOT gone GROUP BY 1)
+            WHERE total_quantity < 0 OR total_revenue < 0""",
+            "ci", "so",
         ),
         "dq_daily_counts": _sql(
             """SELECT order_date, total_orders, cancelled_orders, unique_customers FROM daily
             WHERE cancelled_orders > total_orders OR unique_customers > total_orders""",
             "daily",
         ),
-        "dq_daily_non_negative": _sql("SELECT order_date, total_revenue FROM daily WHERE total_revenue < 0", "daily"),
+        "dq_daily_non_negative": _sql("SELECT order_date, total_revenue FROM fd WHERE total_revenue < 0", "fd"),
+        # Both sides stacked and summed by day.
         "dq_revenue_reconciliation": _sql(
-            f"""SELECT m.order_date, m.total_revenue, c.revenue,
-                CAST(abs(m.total_revenue - c.revenue) AS DECIMAL(23,2)) AS diff
-            FROM (SELECT CAST(created_at AS DATE) AS order_date,
-                    CAST(sum(CASE WHEN status IN {_REVENUE} THEN total_amount ELSE 0 END) AS DECIMAL(22,2)) AS total_revenue
-                FROM cut_ord WHERE NOT is_deleted GROUP BY 1) m
-            FULL JOIN (SELECT CAST(created_at AS DATE) AS order_date, CAST(sum(paid_amount) AS DECIMAL(22,2)) AS revenue
-                FROM co GROUP BY 1) c ON m.order_date = c.order_date
-            WHERE abs(coalesce(m.total_revenue, 0) - coalesce(c.revenue, 0)) > 0.01""",
-            "cut_ord", "co",
+            """SELECT CASE WHEN mart IS NOT NULL THEN day END AS order_date, mart AS total_revenue, silver AS revenue,
+                CAST(abs(mart - silver) AS DECIMAL(23,2)) AS diff
+            FROM (SELECT day, CAST(sum(mart) AS DECIMAL(22,2)) AS mart, CAST(sum(silver) AS DECIMAL(22,2)) AS silver
+                FROM (SELECT order_date AS day, total_revenue AS mart, NULL AS silver FROM fd
+                    UNION ALL SELECT CAST(created_at AS DATE), NULL, paid_amount FROM co)
+                GROUP BY day)
+            WHERE abs(coalesce(mart, 0) - coalesce(silver, 0)) > 0.01""",
+            "fd", "co",
         ),
         "guarded_sql": _sql(
             """SELECT city, count(*) AS total_orders, CAST(sum(paid_amount) AS DECIMAL(22,2)) AS spend

@@ -287,7 +287,8 @@ def trending_sliding(minutes: DataFrame, window: int = TRENDING_MINUTES) -> Data
 
 
 def live_summary(metrics: DataFrame, top: DataFrame) -> DataFrame:
-    """The dashboard, as (section, position, label, value) rows.
+    """The dashboard, as (section, position, label, value) rows; the commit time of the newest
+    change, in milliseconds, among them.
 
     ``metrics`` is the published table: it is read several times here.
     """
@@ -313,7 +314,9 @@ def live_summary(metrics: DataFrame, top: DataFrame) -> DataFrame:
         F.col("name").alias("label"),
         F.col("units").cast(MONEY).alias("value"),
     )
-    return rows.unionByName(rate).unionByName(trending)
+    updated = metrics.where(F.col("metric") == EVENTS).agg(F.max("newest_ms").cast(MONEY).alias("value"))
+    updated = updated.select(F.lit("updated_ms").alias("section"), F.lit(1).alias("position"), F.lit("").alias("label"), "value")
+    return rows.unionByName(rate).unionByName(trending).unionByName(updated)
 
 
 def drift(metrics: DataFrame, core_orders: DataFrame) -> DataFrame:

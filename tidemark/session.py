@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,15 +41,18 @@ def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """A folder of this application's own that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``, which the session must set: a machine-local
-    folder is lost with its machine.
+    It lies under ``spark.checkpoint.dir``. A session on one machine, in local mode, may go
+    without that setting and gets a temporary folder; any other must name a shared one, as
+    a machine-local folder is lost with its machine.
     """
     context = spark.sparkContext
     app = context.applicationId
     if app not in _FOLDERS:
         shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if not shared:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="tidemark-")
         _FOLDERS[app] = f"{shared.rstrip('/')}/tidemark-{app}-{uuid.uuid4().hex[:8]}"
     return _FOLDERS[app]
 

@@ -35,6 +35,10 @@ SNAPSHOT_MS = 788_918_400_000  # 1995-01-01T00:00:00Z
 SNAPSHOT_LSN = 1
 PARTITIONS = 3
 
+#: What the faulty log states.
+WRONG_AMOUNT = "-500000000.00"
+WRONG_QUANTITY = "-100000"
+
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -332,6 +336,26 @@ def damaged(log: DataFrame) -> DataFrame:
     return log.withColumn("value", value)
 
 
+def faulty(log: DataFrame) -> DataFrame:
+    """The same log from a source that loses and misstates rows, for the data checks to find:
+    by key modulo 97, orders that never arrive (13), with statuses nobody knows (11, 12) or
+    with negative amounts, and lines with negative quantities (14)."""
+    residue = F.pmod(F.col("key").cast("bigint"), F.lit(97))
+    orders, lines = F.col("topic") == "orders", F.col("topic") == "order_items"
+
+    def stated(field: str, value: str) -> Column:
+        return F.regexp_replace("value", f'"{field}":("[^"]*"|[0-9]+)', f'"{field}":{value}')
+
+    value = (
+        F.when(orders & (residue == 11), stated("status", '"LOST"'))
+        .when(orders & (residue == 12), stated("status", '"HELD"'))
+        .when(orders & (residue == 14), stated("total_amount", f'"{WRONG_AMOUNT}"'))
+        .when(lines & (residue == 14), stated("quantity", WRONG_QUANTITY))
+        .otherwise(F.col("value"))
+    )
+    return log.where(~orders | (residue != 13)).withColumn("value", value)
+
+
 def redelivered(log: DataFrame) -> DataFrame:
     """The same log with some records sent again: at later offsets, and with a later send time."""
     key = F.col("key").cast("bigint")
