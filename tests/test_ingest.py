@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, rows
-from tidemark.functions.envelope import drop_redelivered, envelope, extract, quarantine
+from tidemark.domain import CREATE_OPS
+from tidemark.functions.envelope import drop_redelivered, envelope, extract, incomplete, quarantine
 from tidemark.plans.live import order_changes
 from tidemark.operators.state import entity_state, stage, staged, state_as_of, upsert
 
@@ -150,3 +151,20 @@ def test_redelivered_records_count_once(spark):
     assert again != value
     found = drop_redelivered(order_changes(log)).orderBy("lsn").collect()
     assert [(r.kafka_offset, r.lsn) for r in found] == [(0, 1), (2, 2)]
+
+
+def test_lines_and_readings_without_their_fields_are_reported(spark):
+    line = {"order_item_id": 1, "product_id": 2, "quantity": 3}
+    values = [
+        change("c", after=line),
+        change("c", after={**line, "quantity": None}),
+        change("c", after={"quantity": 3}),
+        change("c", after=line, ts_ms=None),
+        change("d", before=line),
+    ]
+    found = incomplete(make_log(spark, "order_items", values), "product_id", "quantity", ops=CREATE_OPS)
+    assert [(r.kafka_offset, r.reason) for r in found.orderBy("kafka_offset").collect()] == [
+        (1, "no quantity"),
+        (2, "no product_id"),
+        (3, "no time"),
+    ]

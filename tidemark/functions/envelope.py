@@ -115,6 +115,22 @@ def quarantine(log: DataFrame, key: str) -> DataFrame:
     )
 
 
+def incomplete(log: DataFrame, *fields: str, ops: tuple[str, ...] = OPS) -> DataFrame:
+    """Records of the given operations whose new image lacks a field that a consumer of the
+    topic needs, or that have no time at all: what a projection of those fields leaves out."""
+    missing = [F.get_json_object("after", f"$.{field}").isNull() for field in fields]
+    reason = F.when(F.coalesce("ts_ms", "sent_ms").isNull(), "no time")
+    for field, absent in zip(fields, missing, strict=True):
+        reason = reason.when(absent, f"no {field}")
+    return (
+        decode(log)
+        .where(F.col("op").isin(*ops))
+        .withColumn("reason", reason)
+        .where(F.col("reason").isNotNull())
+        .select("topic", "kafka_partition", "kafka_offset", "timestamp", "reason", "value")
+    )
+
+
 def extract(events: DataFrame, fields: dict[str, tuple[str, str]], source: str = "raw_payload") -> DataFrame:
     """Add typed columns read from a JSON column; what does not parse becomes null.
 
