@@ -158,3 +158,24 @@ def test_city_at_the_time_of_the_order(spark):
         [(1, 6, "Izmir"), (1, 20, "Bursa"), (2, 8, "Konya")], "user_id bigint, lsn bigint, city string"
     )
     assert rows(orders_by_city_then(orders, versions)) == [("Bursa", 1), ("Izmir", 1), ("Unknown", 3)]
+
+
+def test_key_checks_share_a_grouping_and_equal_the_single_checks(spark):
+    tables = {
+        "p": spark.createDataFrame([(1,), (1,), (2,), (None,)], "id bigint"),
+        "c": spark.createDataFrame([(1,), (3,), (3,), (None,), (2,)], "id bigint"),
+        "d": spark.createDataFrame([("a",), ("a",)], "day string"),
+    }
+    checks = [
+        Check("p", "unique", "id"),
+        Check("c", "unique", "id"),
+        Check("c", "relationships", "id", parent="p", parent_column="id"),
+        Check("d", "unique", "day"),
+    ]
+    found = quality.key_checks(tables, checks)
+    assert len(found) == 2
+    got = {r.name: r.violations for df in found for r in df.collect()}
+    single = [quality.unique(tables[c.table], c) for c in checks if c.kind == "unique"]
+    single.append(quality.relationships(tables["c"], tables["p"], checks[2]))
+    assert got == {r.name: r.violations for df in single for r in df.collect()}
+    assert list(got.values()) == [1, 1, 2, 1]

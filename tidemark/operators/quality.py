@@ -80,6 +80,43 @@ def relationships(child: DataFrame, parent: DataFrame, check: Check) -> DataFram
     return missing.agg(*_named(check.name, F.coalesce(F.sum("n"), F.lit(0))))
 
 
+def key_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> list[DataFrame]:
+    """All unique and relationship checks, one grouping for each key that they are about.
+
+    The keys of every table that a check names are stacked and counted by table, in the map
+    tasks first; a key that occurs twice in one table, or in a child but not in its parent,
+    shows in the counts. A table is read once for a key, however many checks ask for it.
+    """
+    domains: dict[tuple, list[Check]] = {}
+    for check in checks:
+        column = check.parent_column or check.column
+        kind = tables[check.table].schema[check.column].dataType
+        domains.setdefault((column, kind.simpleString()), []).append(check)
+    found = []
+    for own in domains.values():
+        sides = [(c.table, c.column) for c in own] + [(c.parent, c.parent_column) for c in own if c.parent]
+        slots = {side: i for i, side in enumerate(dict.fromkeys(sides))}
+        stacked = [
+            tables[table].select(F.col(column).alias("key"), F.lit(i).alias("slot")).where("key is not null")
+            for (table, column), i in slots.items()
+        ]
+        rows = stacked[0]
+        for other in stacked[1:]:
+            rows = rows.unionByName(other)
+        counts = rows.groupBy("key").agg(*[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in slots.values()])
+
+        def violations(check: Check) -> Column:
+            n = F.col(f"n{slots[check.table, check.column]}")
+            if check.kind == "unique":
+                return F.count_if(n > 1)
+            return F.coalesce(F.sum(F.when(F.col(f"n{slots[check.parent, check.parent_column]}") == 0, n)), F.lit(0))
+
+        totals = counts.agg(*[violations(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(own)])
+        named = [F.struct(F.lit(c.name).alias("name"), F.col(f"c{i}").alias("violations")) for i, c in enumerate(own)]
+        found.append(totals.select(F.inline(F.array(*named))))
+    return found
+
+
 def assertion(name: str, violators: DataFrame) -> DataFrame:
     """A query that must return no rows."""
     return violators.agg(*_named(name, F.count(F.lit(1))))
@@ -96,13 +133,8 @@ def report(spark: SparkSession, checks: Iterable[Check], tables: dict[str, DataF
         per_column = [c for c in checks if c.table == table and c.kind in ("not_null", "accepted_values")]
         if per_column:
             results.append(column_checks(tables[table], per_column))
-    for check in checks:
-        if check.kind == "unique":
-            results.append(unique(tables[check.table], check))
-        elif check.kind == "relationships":
-            results.append(relationships(tables[check.table], tables[check.parent], check))
-        elif check.kind == "assertion":
-            results.append(assertion(check.name, violators[check.name]))
+    results.extend(key_checks(tables, [c for c in checks if c.kind in ("unique", "relationships")]))
+    results.extend(assertion(c.name, violators[c.name]) for c in checks if c.kind == "assertion")
     found = results[0]
     for other in results[1:]:
         found = found.unionByName(other)
