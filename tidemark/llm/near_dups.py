@@ -10,11 +10,17 @@
    2k darts are expected; texts with an empty coordinate are thrown at again, further.
 2. Equal texts (128-bit hash of the words) become one node before anything is joined.
 3. Nodes that agree in a band of :data:`ROWS` coordinates meet in a bucket. Each member is
-   compared with the bucket's smallest node only: as many pairs as members. Verified pairs
-   are joined to components. A bucket whose members are then still in several components
-   is compared again, members against the next :data:`CENTRES` nodes of another component,
-   until it is in one component or every node of it has been a centre: nothing is dropped.
-4. Pairs are verified on the whole sets of runs: similarity of :data:`SIMILARITY` or more.
+   compared with the bucket's first node only (that of the smallest id): as many pairs as
+   members. Verified pairs are joined to components.
+4. Buckets that then still hold several components are looked at again. What two texts have
+   in common is at most what each has in common with the bucket's first node, plus the
+   weight of those other runs of either that any other text there has. So most texts are
+   shown to reach the threshold with no other: a text with many changes of its own is done
+   without a comparison, however large its family. What is left is compared, members with the next :data:`CENTRES` nodes of another component that are not in
+   the bucket's largest one, until a bucket is in one component or all nodes outside its
+   largest have been centres: of two texts in different components one is outside it, so
+   nothing is dropped.
+5. Pairs are verified on the whole sets of runs: similarity of :data:`SIMILARITY` or more.
 
 A pair at the threshold meets in no bucket with probability (1 - 0.8^4)^24 = 3e-6.
 
@@ -40,7 +46,7 @@ RUN = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 COORDINATES = BANDS * ROWS
-CENTRES = 8
+CENTRES = 256
 _LAST = (1 << 63) - 1
 #: Chance of at most n darts in a cell of area 1.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(n) for n in range(18)])
@@ -173,35 +179,62 @@ def _runs(docs: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
 
 
 def _similarity(pairs: DataFrame) -> DataFrame:
-    """(a, b, similarity) from the runs and weights of both sides."""
+    """(a, b, shared, similarity) from the runs and weights of both sides."""
 
     def run(batches):
         for batch in batches:
-            made = []
+            made, shared = [], []
             sides = [batch.column(k) for k in ("runs_a", "weights_a", "runs_b", "weights_b")]
             for i in range(batch.num_rows):
                 ra, wa, rb, wb = (side[i].values.to_numpy() for side in sides)
                 _, at_a, at_b = np.intersect1d(ra, rb, assume_unique=True, return_indices=True)
                 common = int(np.minimum(wa[at_a], wb[at_b]).sum())
                 made.append(common / (int(wa.sum()) + int(wb.sum()) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(made, pa.float64())], ["a", "b", "similarity"])
+                shared.append(common)
+            columns = [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(made, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "shared", "similarity"])
 
     pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-    return pairs.mapInArrow(run, "a long, b long, similarity double")
+    return pairs.mapInArrow(run, "a long, b long, shared long, similarity double")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, weights: str) -> DataFrame:
-    """The pairs whose texts are similar enough; a is the bucket's centre."""
-    pairs = written(pairs, "pairs")
-    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    runs = written(_runs(docs, nodes.join(used, "node"), weights), "runs")
+def _compared(pairs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The pairs with the weight that their texts share, and their similarity."""
     for side in "ab":
         pairs = pairs.join(
             runs.select(F.col("node").alias(side), F.col("runs").alias(f"runs_{side}"), F.col("weights").alias(f"weights_{side}")),
             side,
         )
-    similar = _similarity(pairs).where(F.col("similarity") >= SIMILARITY - 1e-12)
-    return written(similar, "similar")
+    return written(_similarity(pairs), "compared")
+
+
+def _links(compared: DataFrame) -> DataFrame:
+    return compared.where(F.col("similarity") >= SIMILARITY - 1e-12).select("a", "b")
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """(one, two, first, version, bands, node): one row per text, numbered in order of its smallest id."""
+    nodes = rows.groupBy("one", "two").agg(
+        F.min(F.struct(F.coalesce("id", F.lit(_LAST)).alias("order"), "id", "version")).alias("least"),
+        F.first("bands").alias("bands"),
+    )
+    nodes = nodes.select("one", "two", F.col("least.id").alias("first"), F.col("least.version").alias("version"), "bands")
+    sort = [F.col("first").asc_nulls_last(), F.col("version")]
+    nodes = written(nodes, "texts").repartitionByRange(*sort).sortWithinPartitions(*sort)
+    return written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after new links: the components of the old ones' roots."""
+    old = roots.select("node", "root")
+    ends = links
+    for side in "ab":
+        found = old.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        ends = ends.join(found, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    merged = components(ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    moved = merged.select(F.col("node").alias("root"), F.col("root").alias("newer"))
+    kept = old.join(moved, "root", "left").select("node", F.coalesce("newer", "root").alias("root"))
+    return written(kept.unionByName(merged), "roots")
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", weights: str = "set") -> DataFrame:
@@ -210,34 +243,33 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", weights: st
     body = F.coalesce(F.col(text), F.lit(""))
     docs = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(body).alias("version"), body.alias("text"))
     rows = written(signed(docs, weights), "signed")
-    nodes = rows.groupBy("one", "two").agg(
-        F.min(F.struct(F.coalesce("id", F.lit(_LAST)).alias("order"), "id", "version")).alias("least"),
-        F.first("bands").alias("bands"),
-    )
-    nodes = nodes.select("one", "two", F.col("least.id").alias("first"), F.col("least.version").alias("version"), "bands")
-    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = _nodes(rows)
 
     members = nodes.where(F.exists("bands", lambda key: key != 0)).select("node", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1")
     shared = written(shared, "shared")  # apart from the grouping, so that the join can split a large bucket
     members = written(members.join(shared, ["band", "key"]), "buckets")
-    first = members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(first, docs, nodes, weights).select("a", "b")
-    roots = written(components(links), "roots")
-
-    left = members.where("n > 2").select("band", "key", "node", (F.col("node") == F.col("centre")).alias("done"))
-    while True:
-        left = written(_open(left, roots), "open")
-        if left.isEmpty():
-            break
+    runs = written(_runs(docs, nodes.join(members.select("node").distinct(), "node"), weights), "runs")
+
+    pairs = members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    compared = _compared(pairs, runs)
+    roots = written(components(_links(compared)), "roots")
+    left = members.where("n > 2").withColumn("done", F.col("node") == F.col("centre")).drop("n")
+    left = written(_unsettled(left, roots), "unsettled")
+    runs = written(runs.join(left.select("node").distinct(), "node", "left_semi"), "runs")
+    left = _bounded(left, runs, compared).join(nodes.select("node", "bands"), "node")
+    left = written(_open(left), "open")
+    while not left.isEmpty():
         centres = _next_centres(left)
-        pairs = left.join(centres, ["band", "key"]).where("node != centre and root != centre_root")
-        pairs = pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
-        links = links.unionByName(_verified(pairs, docs, nodes, weights).select("a", "b"))
-        used = centres.select("band", "key", F.col("centre").alias("node"), F.lit(True).alias("now"))
-        left = left.join(used, ["band", "key", "node"], "left")
-        left = left.select("band", "key", "node", (F.col("done") | F.col("now").isNotNull()).alias("done"))
-        roots = written(components(links), "roots")
+        pairs = left.join(centres, ["band", "key"]).where("root != next_root").where(_first_bucket())
+        most = F.least("shared", "next_shared") + F.least("other", "next_other")
+        pairs = pairs.where(_reach(most, F.col("size") + F.col("next_size")))
+        pairs = pairs.select(F.least("next_node", "node").alias("a"), F.greatest("next_node", "node").alias("b")).distinct()
+        roots = _joined(roots, _links(_compared(pairs, runs)))
+        used = centres.select("band", "key", F.col("next_node").alias("node"), F.lit(True).alias("now"))
+        left = left.drop("root", "main").join(used, ["band", "key", "node"], "left")
+        left = left.withColumn("done", F.col("done") | F.col("now").isNotNull()).drop("now")
+        left = written(_open(_unsettled(left, roots)), "open")
 
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("first").alias("class_id"))
@@ -245,21 +277,63 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", weights: st
     return rows.select("id", "version", "one", "two").join(by_content, ["one", "two"]).select("id", "version", "class_id", "root")
 
 
-def _open(left: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components and nodes that were no centre yet."""
+def _unsettled(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their roots, and whether they
+    have been a centre or need not be one."""
     rooted = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    wanted = rooted.groupBy("band", "key").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.sum((~F.col("done")).cast("long")).alias("n")
+    return _without_settled(rooted)
+
+
+def _without_settled(rooted: DataFrame) -> DataFrame:
+    """Members of buckets in which a node outside the largest component was no centre yet."""
+    parts = rooted.groupBy("band", "key", "root").agg(F.count("*").alias("n"), F.sum((~F.col("done")).cast("long")).alias("new"))
+    wanted = parts.groupBy("band", "key").agg(
+        F.max(F.struct("n", "root", "new")).alias("most"), F.count("*").alias("parts"), F.sum("new").alias("new")
     )
-    wanted = written(wanted.where("least != most and n > 1").select("band", "key"), "unsettled")
-    return rooted.join(wanted, ["band", "key"]).select("band", "key", "node", "done", "root")
+    wanted = wanted.where("parts > 1 and new > most.new").select("band", "key", F.col("most.root").alias("main"))
+    return rooted.drop("main").join(written(wanted, "several"), ["band", "key"])
+
+
+def _bounded(left: DataFrame, runs: DataFrame, compared: DataFrame) -> DataFrame:
+    """Members with ``size``, the weight of all their runs; ``shared``, that of the runs shared
+    with the bucket's centre; ``other``, that of further runs that any other node has too."""
+    each = runs.select("node", F.explode(F.arrays_zip("runs", "weights")).alias("run"))
+    each = each.select("node", F.col("run.runs").alias("run"), F.col("run.weights").cast("long").alias("weight"))
+    twice = written(each.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"), "common")
+    common = each.join(twice, "run").groupBy("node").agg(F.sum("weight").alias("common"))
+    size = F.aggregate("weights", F.lit(0).cast("long"), lambda total, w: total + w)
+    sizes = runs.select("node", size.alias("size")).join(common, "node", "left")
+    sizes = written(sizes.na.fill(0, ["common"]), "sizes")
+    known = compared.select(F.col("a").alias("centre"), F.col("b").alias("node"), "shared")
+    found = left.join(sizes, "node").join(known, ["centre", "node"], "left")
+    shared = F.when(F.col("node") == F.col("centre"), F.col("common")).otherwise(F.col("shared"))
+    return found.withColumn("shared", shared).withColumn("other", F.greatest(F.col("common") - F.col("shared"), F.lit(0))).drop("common", "centre")
+
+
+def _reach(common: Column, sizes: Column) -> Column:
+    """Whether a common weight is enough for the threshold, given the sum of both sizes."""
+    return common + F.lit(1e-9) >= F.lit(SIMILARITY / (1 + SIMILARITY)) * sizes
+
+
+def _first_bucket() -> Column:
+    """Whether two members share no bucket of an earlier band, where they meet already."""
+    own, other = (F.slice(name, 1, F.col("band")) for name in ("bands", "next_bands"))
+    return ~F.exists(F.zip_with(own, other, lambda a, b: a == b), lambda same: same)
+
+
+def _open(left: DataFrame) -> DataFrame:
+    """Members that may be similar to one of another component of their bucket."""
+    smallest = written(left.groupBy("band", "key").agg(F.min("size").alias("least_size")), "smallest")
+    able = left.join(smallest, ["band", "key"]).where(_reach(F.col("shared") + F.col("other"), F.col("size") + F.col("least_size")))
+    return _without_settled(able.drop("least_size"))
 
 
 def _next_centres(left: DataFrame) -> DataFrame:
-    """The next :data:`CENTRES` nodes of each bucket that were no centre yet."""
+    """The next :data:`CENTRES` nodes of each bucket, outside its largest component, that were no centre yet."""
     order = Window.partitionBy("band", "key").orderBy("node")
-    ranked = left.where("not done").withColumn("at", F.row_number().over(order)).where(F.col("at") <= CENTRES)
-    return written(ranked.select("band", "key", F.col("node").alias("centre"), F.col("root").alias("centre_root")), "centres")
+    ranked = left.where("not done and root != main").withColumn("at", F.row_number().over(order)).where(F.col("at") <= CENTRES)
+    named = [F.col(name).alias(f"next_{name}") for name in ("node", "root", "size", "shared", "other", "bands")]
+    return written(ranked.select("band", "key", *named), "centres")
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", weights: str = "set") -> DataFrame:
