@@ -33,21 +33,23 @@ def rows(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", tex
     known = labels.select(F.col(id).alias("key"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out("key"))
     known = known.groupBy("key").agg(F.max("label").alias("label"))
-    if most and (count := known.count()) > most:
-        known = known.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(most / count * (1 << 30)))
+    if most:
+        known = share(known, known.count(), most)
+    else:  # labels grow with the corpus: one join for all sizes
+        known = known.hint("merge")
     texts = docs.select(F.col(id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return texts.join(known, "key")
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """About :data:`SAMPLE_ROWS` rows to fit on."""
-    return rows(docs, labels, label, id, text, SAMPLE_ROWS)
+def share(known: DataFrame, count: int, most: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``most`` of the ``count`` rows of ``known``, chosen by a hash of their key."""
+    return known.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(min(1.0, most / max(count, 1)) * (1 << 30)))
 
 
 def fit_shards(
     taken: DataFrame, fit: Callable[[list[str], np.ndarray], Iterable[tuple[int, float]]]
-) -> list[tuple[int, float]]:
-    """Weights (index, value) of the models that ``fit`` makes of each shard, averaged.
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights of the models that ``fit`` makes of each shard, averaged.
 
     A shard's rows are in order of key and text, however they arrive. The result has as
     many rows as a model has weights, whatever the number of documents.
@@ -77,6 +79,6 @@ def fit_shards(
             yield made(texts, labels)
 
     models = dealt.mapInArrow(run, "at long, value double")
-    total = models.groupBy("at").agg(F.sum("value").alias("value"), F.count("*").alias("n")).collect()
-    fitted = max((r["n"] for r in total), default=1)
-    return [(r["at"], r["value"] / fitted) for r in total]
+    total = models.groupBy("at").agg(F.sum("value").alias("value"), F.count("*").alias("n")).toArrow()
+    at, value, n = (total.column(name).to_numpy() for name in ("at", "value", "n"))
+    return at, value / max(n.max(initial=1), 1)

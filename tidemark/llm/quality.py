@@ -116,13 +116,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id: str =
         yield from zip(at.tolist(), weights[at].tolist(), strict=True)
         yield -1, float(intercept)
 
-    pairs = labelled.fit_shards(labelled.sample(docs, labels, label, id, text), fit_shard)
-    weights, intercept = np.zeros(1 << BITS, dtype=np.float32), 0.0
-    for at, value in pairs:
-        if at < 0:
-            intercept = value
-        else:
-            weights[at] = value
+    at, value = labelled.fit_shards(labelled.rows(docs, labels, label, id, text, labelled.SAMPLE_ROWS), fit_shard)
+    weights = np.zeros(1 << BITS, dtype=np.float32)
+    weights[at[at >= 0]] = value[at >= 0]
+    intercept = float(value[at < 0].sum())
     return Model(weights, intercept)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from tidemark.llm import crf, labelled
-from tidemark.llm.common import map_text
+from tidemark.llm.common import map_text, written
 from tidemark.llm.words import FOLD, NO_LETTER, Words, code_points, find_words, mix
 
 BITS = 20
@@ -160,24 +160,23 @@ class Model(NamedTuple):
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text") -> Model:
     """A model of 2^:data:`BITS` weights at most."""
-    sent = docs.sparkSession.sparkContext.broadcast(token_labels(labelled.rows(docs, labels, label, id, text)))
+    known = written(labelled.rows(docs, labels, label, id, text), "labelled")
+    sent = docs.sparkSession.sparkContext.broadcast(token_labels(known))
 
     def fit_shard(texts: list[str], marks: np.ndarray):
         words = find_tokens(pa.array(texts, pa.large_string()))
         toxic = sum(sent.value[at].astype(int) for at in _own(words)) > 0
         tags = (toxic & (marks[words.owners()] == 1)).astype(np.int64)
         weights, chain = crf.fit(np.array(_features(words)), words.bounds, tags, 1 << BITS, PASSES, RATE, SHRINK)
-        at = np.flatnonzero(np.abs(weights) > 1e-6)
+        at = np.flatnonzero(np.abs(weights) > 1e-3)
         yield from zip(at.tolist(), weights[at].tolist(), strict=True)
         yield from zip(range(-6, 0), [*chain.start, *chain.moves.reshape(-1)], strict=True)
 
-    pairs = dict(labelled.fit_shards(labelled.sample(docs, labels, label, id, text), fit_shard))
-    weights = np.zeros(1 << BITS, dtype=np.float32)
-    for at, value in pairs.items():
-        if at >= 0:
-            weights[at] = value
-    chain = [pairs.get(at, 0.0) for at in range(-6, 0)]
-    return Model(weights, np.array(chain[:2]), np.array(chain[2:]).reshape(2, 2))
+    at, value = labelled.fit_shards(labelled.share(known, known.count()), fit_shard)
+    weights, chain = np.zeros(1 << BITS, dtype=np.float32), np.zeros(6)
+    weights[at[at >= 0]] = value[at >= 0]
+    chain[at[at < 0] + 6] = value[at < 0]
+    return Model(weights, chain[:2], chain[2:].reshape(2, 2))
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", scored: str = "score", spans: str = "spans") -> DataFrame:
