@@ -393,7 +393,7 @@ def bronze_stream(at: Lake) -> DataFrame:
 @query
 def live_metrics_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True, **ONE_FILE)
+    log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True, maxFilesPerTrigger="10")
 
     def known(buyers: DataFrame) -> DataFrame:
         return stage(at.bronze("users").join(buyers, "user_id", "left_semi"), "users", "city")
