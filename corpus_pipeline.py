@@ -24,10 +24,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model, scored=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of two lines or more that stand elsewhere before; ``n_chars`` follows."""
+    return _with_length(docs, line_dedup.dedup_passages(docs, removed=fresh(docs, "removed")))
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the chunks of lines that stand elsewhere before; ``n_chars`` follows."""
-    removed = fresh(docs, "removed")
-    done = line_dedup.dedup_lines(docs, removed=removed)
+    return _with_length(docs, line_dedup.dedup_lines(docs, removed=fresh(docs, "removed")))
+
+
+def _with_length(docs: DataFrame, done: DataFrame) -> DataFrame:
+    """``done`` with ``n_chars`` of the new texts, without its last column, the number of what was removed."""
+    removed = done.columns[-1]
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         done = done.withColumn("n_chars", F.when(F.col(removed) > 0, length).otherwise(F.col("n_chars")))
@@ -52,6 +61,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality", keep_quality),
+    ("passages", drop_passages),
     ("line_dedup", drop_lines),
     ("near_dups", keep_one),
     ("decontamination", drop_leaks),

@@ -113,3 +113,54 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", removed
     if removed:
         columns.append(F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(removed))
     return cut.select(*columns)
+
+
+def _pairs(docs: DataFrame) -> DataFrame:
+    """(id, version, pos, place, one, two, chunk) of every two lines that may go; pos is the first one's."""
+    df = docs.select("id", "version", once(F.split("text", "\n", -1)).alias("lines"))
+    count = F.size("lines")
+    both = F.zip_with(
+        F.slice("lines", 1, count - 1), F.slice("lines", 2, count - 1), lambda a, b: F.concat(a, F.lit("\n"), b)
+    )
+    found = df.select("id", "version", F.posexplode(both).alias("pos", "chunk")).where(F.col("chunk").rlike(r"\S"))
+    # 29 bits of the text's hash stand between id and position.
+    below = F.pmod("version", F.lit(1 << 29)) * F.lit(_PLACES) + F.col("pos")
+    order = F.coalesce("id", F.lit(_LAST)).cast("decimal(19,0)") * F.lit(1 << 60).cast("decimal(19,0)")
+    return found.select(
+        "id",
+        "version",
+        "pos",
+        (order + below.cast("decimal(19,0)")).cast("decimal(38,0)").alias("place"),
+        F.xxhash64("chunk").alias("one"),
+        F.xxhash64(F.lit(1), "chunk").alias("two"),
+        "chunk",
+    )
+
+
+def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
+    """``docs`` without the lines of repeated passages; ``removed`` names a column for their number."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    keys = [F.col(id).cast("long").alias("id"), F.xxhash64(body).alias("version")]
+    places = _pairs(docs.select(*keys, body.alias("text")))
+    gone = (
+        places.drop("chunk")
+        .join(written(repeated_chunks(places), "repeated"), ["one", "two"])
+        .where(F.col("place") > F.col("first"))
+        .groupBy(F.col("id").alias("of_id"), F.col("version").alias("of_version"))
+        .agg(F.collect_set("pos").alias("gone"))
+    )
+    base = docs.select(held(docs).alias("row"), *keys)
+    joined = base.join(gone, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("version") == F.col("of_version")), "left")
+    df = joined.select("row", "gone", F.col(f"row.`{text}`").alias("text"))
+    df = df.select("*", once(F.when(F.col("gone").isNotNull(), F.split("text", "\n", -1))).alias("lines"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.array_union("gone", F.transform("gone", lambda i: i + 1)))
+    df = df.select("*", once(kept).alias("kept"))
+    some = F.exists("kept", lambda i: F.get("lines", i).rlike(r"\S"))
+    df = df.select("*", once(F.when(some, F.col("kept")).otherwise(F.array().cast("array<int>"))).alias("rest"))
+    rest = F.array_join(F.transform("rest", lambda i: F.get("lines", i)), "\n")
+    new = F.when(F.col("gone").isNull(), F.col(f"row.`{text}`")).otherwise(rest)
+    columns = released(df, "row", {text: new})
+    if removed:
+        lost = F.size("lines") - F.size("rest")
+        columns.append(F.when(F.col("gone").isNull(), 0).otherwise(lost).cast("long").alias(removed))
+    return df.select(*columns)

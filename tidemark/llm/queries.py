@@ -31,6 +31,14 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_passages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    done = line_dedup.dedup_passages(docs, removed="removed_lines")
+    return done.select(
+        "doc_id", "removed_lines", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read_table(spark, folder, "labels"))
@@ -112,6 +120,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
+        op1_passages,
         op2_toxicity,
         op3_secrets,
         op4_packing,
