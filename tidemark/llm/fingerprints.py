@@ -2,8 +2,8 @@
 
 The lexicon holds terms whose normalised inverse document frequency, ln(N/df) / ln N, lies
 in :data:`BAND`: neither the words of most documents nor the rarest. Document frequencies
-are those of 2^:data:`BITS` hash buckets, counted over all documents; a fixed number, so the
-lexicon's size does not follow the corpus. (Rare terms that share a bucket share its count.)
+are those of 64-bit term hashes, counted over all documents; the lexicon is the exact set of
+terms in the band and grows with the distinct terms of the corpus.
 
 :data:`FAMILIES` families of random subsets of the lexicon are nested: a term is in the
 subset of depth d with probability 2^-d. Of each family a document uses the sparsest subset
@@ -35,7 +35,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from tidemark.llm.common import BATCH_ROWS, map_text, slices, written
 from tidemark.llm.words import FOLD, Words, find_words, mix
 
-BITS = 20
+#: Terms that a task counts before it passes them on.
+TASK_TERMS = 1 << 18
 BAND = (0.2, 0.9)
 FAMILIES = 32
 _DEPTHS = np.array([16 - int(i).bit_length() for i in range(1 << 16)], dtype=np.uint8)
@@ -51,44 +52,62 @@ def _terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return owner[first], terms[first]
 
 
-def _bucket(terms: np.ndarray) -> np.ndarray:
-    return (terms >> np.uint64(64 - BITS)).astype(np.int64)
+def _within(terms: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Whether each of ``terms`` is in the sorted lexicon ``kept``."""
+    if not len(kept):
+        return np.zeros(len(terms), dtype=bool)
+    return kept[np.minimum(np.searchsorted(kept, terms), len(kept) - 1)] == terms
+
+
+def _summed(terms: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    both, place = np.unique(np.concatenate(terms), return_inverse=True)
+    return both, np.bincount(place, weights=np.concatenate(counts), minlength=len(both)).astype(np.int64)
 
 
 def lexicon(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Whether the terms of a bucket are in the lexicon.
+    """The terms in the lexicon, sorted.
 
-    Frequencies are summed in the map tasks; the driver gets the buckets in the band, which
-    are 2^:data:`BITS` at most.
+    Frequencies are summed in the map tasks, which hold :data:`TASK_TERMS` terms or so at a time,
+    and then by a grouping; the driver gets the terms in the band, eight bytes each.
     """
 
+    def counted(terms: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])
+
     def run(batches):
-        seen = np.zeros(1 << BITS, dtype=np.int64)
-        total = 0
+        terms, counts, size, total = [], [], 0, 0
         for batch in batches:
-            owner, terms = _terms(find_words(batch.column(0), FOLD))
-            pairs = np.unique(owner << BITS | _bucket(terms))
-            seen += np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
+            own, n = np.unique(_terms(find_words(batch.column(0), FOLD))[1], return_counts=True)
+            terms.append(own)
+            counts.append(n)
+            size += len(own)
             total += batch.num_rows
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], total))], ["at", "n"])
+            if size >= TASK_TERMS:
+                both, n = _summed(terms, counts)
+                if len(both) * 2 >= TASK_TERMS:
+                    yield counted(both, n)
+                    terms, counts, size = [], [], 0
+                else:
+                    terms, counts, size = [both], [n], len(both)
+        if terms:
+            yield counted(*_summed(terms, counts))
+        # Without a term: the number of documents.
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["term", "n"])
 
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-    counts = docs.select(F.col(f"`{text}`")).mapInArrow(run, "at long, n long")
-    counts = written(counts.groupBy("at").agg(F.sum("n").alias("n")), "frequencies")
-    total = max((counts.where("at = -1").first() or {"n": 1})["n"], 1)
+    counts = docs.select(F.col(f"`{text}`")).mapInArrow(run, "term long, n long")
+    counts = written(counts.groupBy("term").agg(F.sum("n").alias("n")), "frequencies")
+    total = max((counts.where("term is null").first() or {"n": 1})["n"], 1)
     least, most = (total ** (1 - share) for share in reversed(BAND))
-    within = counts.where((F.col("at") >= 0) & (F.col("n") >= math.floor(least)) & (F.col("n") <= math.ceil(most)))
-    kept = np.zeros(1 << BITS, dtype=bool)
-    kept[within.select("at").toArrow().column("at").to_numpy()] = True
-    return kept
+    within = counts.where(F.col("term").isNotNull() & (F.col("n") >= math.floor(least)) & (F.col("n") <= math.ceil(most)))
+    return np.sort(within.select("term").toArrow().column("term").to_numpy().view(np.uint64))
 
 
 def values(texts: pa.Array, kept: np.ndarray) -> np.ndarray:
     """The fingerprints of the texts: one row of :data:`FAMILIES` numbers for each."""
     made = np.zeros((len(texts), FAMILIES), dtype=np.uint32)
     owner, terms = _terms(find_words(texts, FOLD))
-    chosen = kept[_bucket(terms)]
+    chosen = _within(terms, kept)
     some = np.bincount(owner[chosen], minlength=len(texts)) > 0
     use = chosen | ~some[owner]
     owner, terms = owner[use], terms[use]
