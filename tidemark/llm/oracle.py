@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, line_dedup, secrets
+from tidemark.llm import chat, line_dedup, merkle, mtree, secrets, vectors
 from tidemark.llm.queries import CONTROL
 
 OP1 = f"""
@@ -128,5 +128,98 @@ select conv_id, n_turns, turns_sha256, length(loss) as loss_chars, sha256(loss)
 """
 
 
+OP11 = f"""
+with v as (
+    select distinct vec_id, list_transform(embedding, lambda c: floor({vectors.SCALE} * c::double)) as x from embeddings
+    where embedding is not null and vec_id is not null
+      and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+    from v q join v c on q.vec_id % {mtree.EVERY} = 0 and c.vec_id <> q.vec_id
+), ranked as (
+    select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= {mtree.TOP}
+"""
+
+#: Levels of the two trees that the SQL goes up: more than enough for the tables it runs on.
+LEVELS = {"leaf": 7, "top": 3}
+#: One bit at a time, with the reversed polynomial.
+_CRC32 = (
+    "xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint), "
+    "lambda crc, c: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda r, z: xor(r >> 1, 3988292384 * (r & 1)), xor(crc, c)), 4294967295::bigint), 4294967295)"
+)
+
+
+def _levels(name: str, levels: int) -> str:
+    """Nodes n, their neighbours in the run, and one level up; a level of one node stays as it is."""
+    parts = []
+    for level in range(levels):
+        parts.append(f"""{name}_beside{level} as (
+    select g, pos, m, h,
+           coalesce(string_agg(h, '') over (partition by g, pos // {merkle.FAN} order by pos rows between unbounded preceding and 1 preceding), '') as before,
+           coalesce(string_agg(h, '') over (partition by g, pos // {merkle.FAN} order by pos rows between 1 following and unbounded following), '') as after
+    from {name}{level}
+), {name}{level + 1} as (
+    select g, pos // {merkle.FAN} as pos, (max(m) + {merkle.FAN - 1}) // {merkle.FAN} as m,
+           case when max(m) = 1 then min(h) else sha256(string_agg(h, '' order by pos)) end as h
+    from {name}{level} group by g, pos // {merkle.FAN}
+)""")
+    return ", ".join(parts)
+
+
+def _climb(name: str, levels: int, source: str, carried: str) -> str:
+    """Each row's digest folded level by level, its siblings appended to its proof."""
+    parts = []
+    for level in range(levels):
+        before = f"{name}_path{level - 1}" if level else source
+        parts.append(f"""{name}_path{level} as (
+    select {carried}, p.pos // {merkle.FAN} as pos, proof || before || after as proof,
+           case when n.m = 1 then folded else sha256(before || folded || after) end as folded
+    from {before} p join {name}_beside{level} n on n.g = p.g and n.pos = p.pos
+)""")
+    return ", ".join(parts)
+
+
+def _op13() -> str:
+    def leaf(text: str) -> str:
+        fields = {name: f"{name}::varchar" for name in merkle.FIELDS} | {"text": text}
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in fields.values()) + ")"
+
+    low = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    return f"""
+with doc as (
+    select doc_id, coalesce('v' || lang, 'n') as g, {leaf("text")} as h,
+           case when {_CRC32} % 3 = 0 then {leaf(low)} end as changed
+    from documents
+), placed as (
+    select *, row_number() over (partition by g order by doc_id nulls first, h) - 1 as pos, count(*) over (partition by g) as m
+    from doc
+), leaf0 as (select g, pos, m, h from placed),
+{_levels("leaf", LEVELS["leaf"])},
+subroot as (select g, h from leaf{LEVELS["leaf"]}),
+top0 as (select '' as g, row_number() over (order by g) - 1 as pos, count(*) over () as m, h, g as name from subroot),
+{_levels("top", LEVELS["top"])},
+start as (
+    select doc_id, g, pos, h as leaf, '' as proof, coalesce(changed, h) as folded from placed
+),
+{_climb("leaf", LEVELS["leaf"], "start", "p.doc_id, p.g, p.leaf")},
+up as (
+    select p.doc_id, '' as g, p.leaf, p.proof, p.folded, t.pos, t.h as subroot
+    from leaf_path{LEVELS["leaf"] - 1} p join top0 t on t.name = p.g
+),
+{_climb("top", LEVELS["top"], "up", "p.doc_id, p.g, p.leaf, p.subroot")}
+select doc_id, leaf, subroot, r.h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = r.h as verified
+from top_path{LEVELS["top"] - 1}, (select h from top{LEVELS["top"]}) r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_secrets": _op3(), "op10_chat": OP10}
+    return {
+        "op1_line_dedup": OP1,
+        "op3_secrets": _op3(),
+        "op10_chat": OP10,
+        "op11_top_vectors": OP11,
+        "op13_merkle": _op13(),
+    }

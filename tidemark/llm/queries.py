@@ -14,11 +14,14 @@ from tidemark.llm import (
     html_text,
     labelled,
     line_dedup,
+    merkle,
+    mtree,
     near_dups,
     packing,
     quality,
     secrets,
     toxicity,
+    whitening,
 )
 from tidemark.sources.tables import read_table
 
@@ -117,6 +120,23 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns))
 
 
+def op11_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    index = mtree.build(read_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return mtree.top_k(index)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.by_component(rows, whitening.fit(rows))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select(*merkle.FIELDS)
+    changed = {"text": merkle.tampered_text(F.col("text"))}
+    leaves = merkle.leaves_of(docs, changed=changed, where=merkle.chosen("doc_id"))
+    return merkle.proofs(merkle.manifest(leaves))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
@@ -130,5 +150,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_near_dups,
         op10_chat,
+        op11_top_vectors,
+        op12_whitening,
+        op13_merkle,
     ]
     return {query.__name__: query for query in found}
