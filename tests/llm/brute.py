@@ -7,35 +7,34 @@ import math
 import re
 from collections import Counter, defaultdict
 
-from tidemark.llm import line_dedup, near_dups, secrets
+import regex
 
+from tidemark.llm import near_dups, secrets
 
-def chunks(text: str) -> list[list[str]]:
-    lines = text.split("\n")
-    hashes = [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
-    marks = [False] + [(a * 31 + b) % line_dedup.MODULUS == 0 for a, b in zip(hashes, hashes[1:])]
-    found, part = [], []
-    for i, line in enumerate(lines):
-        part.append(line)
-        if i == len(lines) - 1 or marks[i] and not marks[i - 1] and i < len(lines) - 2:
-            found.append(part)
-            part = []
-    return found
+
+def enough(lines: list[str]) -> bool:
+    words = sum(bool(regex.fullmatch(r"[\p{L}\p{M}]{2,}[.,;:!?]?", word)) for line in lines for word in re.split("[ \t]", line))
+    return words >= 10 or sum(len(regex.findall(r"[\p{L}\p{N}]", line)) for line in lines) >= 200
 
 
 def dedup_lines(docs: list[tuple]) -> dict:
-    """{(id, text): new text}; the copy of the lowest id stays."""
-    seen: dict[str, tuple] = {}
+    """{(id, text): (new text, lines removed)}; the first place of a chunk stays."""
+    first: dict[tuple, tuple] = {}
     made = {}
     for id, text in sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0)):
-        kept = []
-        for n, part in enumerate(chunks(text or "")):
-            body = "\n".join(part)
-            if len(part) >= line_dedup.LEAST_LINES and body.strip():
-                if seen.setdefault(body, (id, n)) != (id, n):
-                    continue
-            kept.append(body)
-        made[id, text] = "\n".join(kept)
+        lines = (text or "").split("\n")
+        at = [first.setdefault(pair, (id, text, i)) for i, pair in enumerate(zip(lines, lines[1:]))]
+        again = [a[:2] != (id, text) or i >= a[2] + 2 for i, a in enumerate(at)]
+        gone: set[int] = set()
+        i = 0
+        while i < len(at):
+            stop = i
+            while again[i] and stop + 1 < len(at) and again[stop + 1] and at[stop + 1] == (*at[stop][:2], at[stop][2] + 1):
+                stop += 1
+            if again[i] and enough(lines[i : stop + 2]):
+                gone |= {*range(i, stop + 2)}
+            i = stop + 1
+        made[id, text] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(gone)) if gone else (text, 0)
     return made
 
 

@@ -1,60 +1,14 @@
-"""Line dedup and secret scan: column expressions against plain Python."""
+"""Secret scan against plain Python; whole tables against SQL."""
 
 import random
 import string
 
 import duckdb
-from brute import chunks, dedup_lines, secret_spans
+from brute import secret_spans
 from conftest import FOLDER
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, oracle, queries, secrets
-
-DOCS = "id long, text string"
-
-
-def deduped(spark, rows):
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    return line_dedup.dedup_lines(df, removed="removed")
-
-
-def test_line_dedup_equals_plain_version(spark):
-    rng = random.Random(5)
-    lines = ["".join(rng.choices("abc ", k=rng.randint(0, 12))) for _ in range(60)]
-    passage = lines[:17]
-    rows = [(i, "\n".join(rng.sample(lines, rng.randint(0, 6)) + passage * (i % 3 > 0) + rng.sample(lines, 4))) for i in range(40)]
-    rows += [(3, rows[3][1]), (99, None), (None, rows[4][1]), (100, ""), (101, "\n\n\n\n"), (102, "\n\n\n\n"), (103, "one line")]
-    got = {(r.doc_id, r.text): r.text for r in deduped(spark, rows).collect()}
-    want = dedup_lines(rows)
-    texts = sorted((k[0] if k[0] is not None else -1, v if k[1] is not None else None) for k, v in want.items())
-    assert sorted(((-1 if i is None else i), t) for i, t in got) == sorted(texts, key=lambda x: (x[0], x[1] is not None, x[1]))
-    assert deduped(spark, rows).count() == len(rows)
-
-
-def test_chunks_do_not_shift(spark):
-    passage = "\n".join(f"line number {i} of a shared passage" for i in range(30))
-    inside = chunks(passage)[1:-1]
-    for ahead in ("", "x\n", "x\ny\nz\n"):
-        assert [c for c in chunks(ahead + passage) if c in inside] == inside
-    assert all(len(c) >= 2 for c in chunks(passage))
-
-
-def test_exact_copies_lose_all_but_the_first(spark):
-    text = "\n".join(f"sentence {i} here" for i in range(50))
-    got = {r.doc_id: r for r in deduped(spark, [(i, text) for i in (7, 3, 9)]).collect()}
-    assert got[3].text == text and got[3].removed == 0
-    assert got[7].text == got[9].text == "" and got[7].removed > 5
-
-
-def test_line_dedup_keeps_columns_that_clash(spark):
-    text = "a\nb\nc\nd"
-    df = spark.createDataFrame(
-        [(1, text, 5, "p", 1.0), (2, text, 6, "q", 2.0)], "doc_id int, text string, pos int, gone string, row double"
-    )
-    got = line_dedup.dedup_lines(df).orderBy("doc_id").collect()
-    assert got[0].asDict() == {"doc_id": 1, "text": text, "pos": 5, "gone": "p", "row": 1.0}
-    assert got[1].text == "" and got[1].gone == "q"
-
+from tidemark.llm import oracle, queries, secrets
 
 def test_secrets_equal_plain_version(spark):
     rng = random.Random(11)
@@ -83,13 +37,13 @@ def test_secrets_equal_plain_version(spark):
 
 def test_whole_tables_against_sql(spark):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {table} as select * from read_parquet('{FOLDER}/{table}.parquet')")
     for name, sql in oracle.oracle_sql().items():
         got = queries.queries()[name](spark, FOLDER).toPandas()
         want = con.execute(sql).df()
         columns = sorted(want.columns)
         assert columns == sorted(got.columns)
-        key = columns.index("doc_id" if "doc_id" in columns else "conv_id")
-        rows = lambda df: sorted((tuple(map(str, r)) for r in df[columns].itertuples(index=False)), key=lambda r: int(r[key]))
+        key = columns.index(next(c for c in ("doc_id", "conv_id", "query_id") if c in columns))
+        rows = lambda df: sorted((tuple(map(str, r)) for r in df[columns].itertuples(index=False)), key=lambda r: (int(r[key]), r))
         assert rows(got) == rows(want), name

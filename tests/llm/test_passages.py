@@ -1,25 +1,19 @@
-"""Repeated passages go from their first line to their last."""
+"""Repeated passages go from their first line to their last; what is no passage stays."""
 
 import random
 
+import pytest
+from brute import dedup_lines
 from conftest import FOLDER
-from test_native import DOCS
 
 import corpus_pipeline
-from tidemark.llm import line_dedup, queries
+from tidemark.llm import line_dedup
 
+DOCS = "doc_id long, text string"
 
-def plain(docs):
-    """{(id, text): (new text, lines removed)}; pairs of lines, the first place stays."""
-    first, made = {}, {}
-    for id, text in sorted(set(docs), key=lambda d: (d[0] is None, d[0])):
-        lines, gone = (text or "").split("\n"), set()
-        for i, pair in enumerate(zip(lines, lines[1:])):
-            if "".join(pair).strip() and first.setdefault(pair, (id, i)) != (id, i):
-                gone |= {i, i + 1}
-        rest = "\n".join(line for i, line in enumerate(lines) if i not in gone)
-        made[id, text] = ("", len(lines)) if gone and not rest.strip() else (rest, len(gone)) if gone else (text, 0)
-    return made
+
+def deduped(spark, rows):
+    return line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), removed="removed").collect()
 
 
 def planted(rng):
@@ -38,45 +32,73 @@ def planted(rng):
 
 def test_planted_passages_go_whole(spark):
     rows, want = planted(random.Random(4))
-    df = spark.createDataFrame(rows, "id long, text string")
-    got = line_dedup.dedup_passages(df, id="id")
-    assert {r.id: r.text for r in got.collect()} == want
+    assert {r.doc_id: r.text for r in deduped(spark, rows)} == want
 
 
 def test_stage_of_the_pipeline(spark):
     rows, want = planted(random.Random(8))
     df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
-    for name, stage in corpus_pipeline.STAGES:
-        if name in ("passages", "line_dedup"):
-            df = stage(spark, df, FOLDER)
-    got = df.collect()
+    got = dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, FOLDER).collect()
     assert {r.doc_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got)
 
 
-def test_whole_table_equals_plain_version(spark):
-    import hashlib
+CODE = [
+    "int f(int a) {\n    if (a) {\n        a++;\n    }\n    return a;\n}",
+    "int g(int b) {\n    while (b) {\n        b--;\n    }\n    return a;\n}",
+    "def f(x):\n    for i in range(10):\n        if x > i:\n            return True\n    return False",
+    "def g(y):\n    for i in range(10):\n        if y > i:\n            return True\n    return False",
+    "import java.util.List;\nimport java.util.Map;\n\npublic class A {\n    public static void main(String[] args) {\n        run();\n    }\n}",
+    "import java.util.List;\nimport java.util.Map;\n\npublic class B {\n    public static void main(String[] args) {\n        go();\n    }\n}",
+    "# One\n\nSome text.\n\n- [x]\n---",
+    "# Two\n\nOther text.\n\n- [x]\n---",
+    "\n\n\n\n",
+    "x\n\n\n\n",
+]
+
+
+def test_code_stays(spark):
+    got = deduped(spark, list(enumerate(CODE)))
+    assert {r.doc_id: r.text for r in got} == dict(enumerate(CODE)) and not any(r.removed for r in got)
+
+
+def test_pieces_found_at_different_places_do_not_add_up(spark):
+    """Two small repeats side by side are no passage, and one of a passage's pairs known from elsewhere parts it."""
+    a, b, c = ("alpha beta gamma delta one", "beta two three four", "gamma five six seven eight")
+    rows = [(1, f"{a}\n{b}\nx"), (2, f"y\n{b}\n{c}"), (3, f"{a}\n{b}\n{c}")]
+    assert {r.doc_id: r.text for r in deduped(spark, rows)} == dict(rows)
 
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
-    want = {(id, n, len(t), hashlib.sha256(t.encode()).hexdigest()) for (id, _), (t, n) in plain([tuple(r) for r in docs]).items()}
-    got = {(r.doc_id, r.removed_lines, r.n_chars, r.text_sha256) for r in queries.op1_passages(spark, FOLDER).collect()}
-    assert got == want
 
+def test_exact_copies_lose_all_but_the_first(spark):
+    text = "\n".join(f"sentence {i} here" for i in range(50))
+    got = {r.doc_id: r for r in deduped(spark, [(i, text) for i in (7, 3, 9)])}
+    assert got[3].text == text and got[3].removed == 0
+    assert got[7].text == got[9].text == "" and got[7].removed == 50
 
-def test_edges(spark):
-    rng = random.Random(5)
-    lines = ["".join(rng.choices("abc ", k=rng.randint(0, 12))) for _ in range(60)]
-    rows = [(i, "\n".join(rng.sample(lines, rng.randint(0, 6)) + lines[:17] * (i % 3 > 0) + rng.sample(lines, 4))) for i in range(40)]
+
+def test_copies_within_a_document(spark):
+    passage = "one of the lines of a passage\nthat stands here more than once over"
+    same = "the very same line again and again and again here"
+    rows = [(1, f"{passage}\nbetween\n{passage}\nend"), (2, "\n".join([same] * 5)), (3, "文" * 120 + "\n" + "字" * 90), (4, "文" * 120 + "\n" + "字" * 90)]
+    got = {r.doc_id: r.text for r in deduped(spark, rows)}
+    assert got == {1: f"{passage}\nbetween\nend", 2: f"{same}\n{same}", 3: rows[2][1], 4: ""}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_a_plain_version(spark, seed):
+    rng = random.Random(seed)
+    lines = [" ".join(rng.choices(["a", "word", "words,", "x1", "Überall", "", "the"], k=rng.randint(0, 9))) for _ in range(60)]
+    rows = [(i, "\n".join(rng.sample(lines, rng.randint(0, 6)) + lines[:17] * (i % 3 > 0) + rng.choices(lines, k=9))) for i in range(60)]
     rows += [(3, rows[3][1]), (99, None), (None, rows[4][1]), (100, ""), (101, "\n\n\n"), (102, "\n\n\n"), (103, "one line")]
-    rows += [(104, "one line"), (105, "x\n\n\n"), (106, "x\n\n\n"), (107, "-\n-\n-\n-")]
-    df = spark.createDataFrame(rows, DOCS.replace("id", "doc_id"))
-    got = line_dedup.dedup_passages(df, removed="removed").collect()
-    want = plain(rows)
+    rows += [(104, "one line"), (105, "\n".join(lines * 40)), (106, "x" * 300_000 + "\n" + "\n".join(lines * 3))]
+    got = deduped(spark, rows)
+    want = dedup_lines(rows)
     key = lambda r: (str(r[0]), str(r[1]), r[2])
     assert sorted(((r.doc_id, r.text, r.removed) for r in got), key=key) == sorted(((r[0], *want[r]) for r in rows), key=key)
-    by = {r.doc_id: r.text for r in got}
-    assert by[106] == "" and by[107] == "-" and by[102] == "\n\n\n" and by[104] == "one line" and by[99] is None
+    assert sum(r.removed for r in got) > 500
+
 
-    same = spark.createDataFrame([(None, "a\nb\nc"), (None, "a\nb\nd")], "doc_id long, text string")
-    assert sorted(r.text for r in line_dedup.dedup_passages(same).collect()) in (["a\nb\nc", "d"], ["a\nb\nd", "c"])
-    clash = spark.createDataFrame([(1, "a\nb", 5, "p"), (2, "a\nb", 6, "q")], "doc_id int, text string, pos int, gone string")
-    assert [tuple(r) for r in line_dedup.dedup_passages(clash).orderBy("doc_id").collect()] == [(1, "a\nb", 5, "p"), (2, "", 6, "q")]
+def test_columns_that_clash_and_no_rows(spark):
+    text = "\n".join(["first line of some words here", "second line of some more words"])
+    clash = spark.createDataFrame([(1, text, 5, "p", 1.0), (2, text, 6, "q", 2.0)], "doc_id int, text string, pos int, gone string, row double")
+    assert [tuple(r) for r in line_dedup.dedup_lines(clash).orderBy("doc_id").collect()] == [(1, text, 5, "p", 1.0), (2, "", 6, "q", 2.0)]
+    assert line_dedup.dedup_lines(clash.limit(0)).collect() == []

@@ -10,33 +10,34 @@ with line as (
     select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
     from documents
-), hashed as (
-    select doc_id, line, i, ('0x' || substr(md5(line), 1, 8))::bigint as h from line
-), marked as (
-    select doc_id, line, i, count(*) over (partition by doc_id) as n,
-           coalesce((lag(h) over (partition by doc_id order by i) * 31 + h) % {line_dedup.MODULUS} = 0, false) as mark
-    from hashed
-), cut as (
-    select doc_id, line, i,
-           case when mark and not coalesce(lag(mark) over (partition by doc_id order by i), false) and i < n - 1
-                then 1 else 0 end as ends
-    from marked
-), numbered as (
-    select doc_id, line, i,
-           coalesce(sum(ends) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as c
-    from cut
+), pair as (
+    select doc_id, i, line || chr(10) || lead(line) over (partition by doc_id order by i) as two
+    from line
+), placed as (
+    select doc_id, i, min((doc_id, i)) over (partition by two) as first from pair where two is not null
+), hit as (
+    select doc_id, i, first[1] as src, i - first[2] as away from placed
+    where first[1] <> doc_id or i >= first[2] + {line_dedup.WINDOW}
+), run as (
+    select *, i - row_number() over (partition by doc_id, src, away order by i) as run from hit
 ), chunk as (
-    select doc_id, c, string_agg(line, chr(10) order by i) as text, count(*) as n from numbered group by doc_id, c
-), ranked as (
-    select *, n >= {line_dedup.LEAST_LINES} and regexp_matches(text, '\\S')
-              and row_number() over (partition by text, n >= {line_dedup.LEAST_LINES} order by doc_id, c) > 1 as gone
-    from chunk
+    select doc_id, src, away, run, min(i) as start, max(i) + {line_dedup.WINDOW - 1} as stop from run group by all
+), passage as (
+    select c.doc_id, c.src, c.away, c.run, any_value(start) as start, any_value(stop) as stop
+    from chunk c join line l on l.doc_id = c.doc_id and l.i between c.start and c.stop
+    group by all
+    having sum(len(regexp_extract_all(' ' || regexp_replace(l.line, '{line_dedup.BLANK}', '  ', 'g') || ' ', '{line_dedup.WORD}')))
+               >= {line_dedup.LEAST_WORDS}
+        or sum(length(regexp_replace(l.line, '{line_dedup.OTHER}', '', 'g'))) >= {line_dedup.LEAST_LETTERS}
+), marked as (
+    select l.doc_id, l.i, l.line, exists (select 1 from passage p where p.doc_id = l.doc_id and l.i between p.start and p.stop) as gone
+    from line l
 ), rebuilt as (
-    select doc_id, coalesce(string_agg(text, chr(10) order by c) filter (where not gone), '') as text,
+    select doc_id, coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '') as text,
            count(*) filter (where gone) as removed
-    from ranked group by doc_id
+    from marked group by doc_id
 )
-select doc_id, removed as removed_chunks, length(text) as n_chars, sha256(text) as text_sha256 from rebuilt
+select doc_id, removed as removed_lines, length(text) as n_chars, sha256(text) as text_sha256 from rebuilt
 """
 
 

@@ -28,15 +28,7 @@ from tidemark.sources.tables import read_table
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    done = line_dedup.dedup_lines(docs, removed="removed_chunks")
-    return done.select(
-        "doc_id", "removed_chunks", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
-    )
-
-
-def op1_passages(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    done = line_dedup.dedup_passages(docs, removed="removed_lines")
+    done = line_dedup.dedup_lines(docs, removed="removed_lines")
     return done.select(
         "doc_id", "removed_lines", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
     )
@@ -140,7 +132,6 @@ def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
-        op1_passages,
         op2_toxicity,
         op3_secrets,
         op4_packing,
