@@ -24,13 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model, scored=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
-def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of two lines or more that stand elsewhere before; ``n_chars`` follows."""
-    return _with_length(docs, line_dedup.dedup_passages(docs, removed=fresh(docs, "removed")))
-
-
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the chunks of lines that stand elsewhere before; ``n_chars`` follows."""
+    """Texts without the passages of lines that stand elsewhere before; ``n_chars`` follows."""
     return _with_length(docs, line_dedup.dedup_lines(docs, removed=fresh(docs, "removed")))
 
 
@@ -61,7 +56,6 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality", keep_quality),
-    ("passages", drop_passages),
     ("line_dedup", drop_lines),
     ("near_dups", keep_one),
     ("decontamination", drop_leaks),
