@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held, once, released, written
+from tidemark.llm.common import held, once, written
 
 #: What a chunk holds at least: words of letters between blanks, or letters and digits for scripts without
 #: blanks and for long stretches of code.
@@ -111,10 +111,10 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", removed
         .groupBy(F.col("id").alias("of_id"), F.col("version").alias("of_version"))
         .agg(F.sort_array(F.collect_set(F.struct("pos", away.alias("away")).cast(_HIT))).alias("hits"))
     )
-    base = docs.select(held(docs).alias("row"), *keys)
+    others = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name != text])
+    base = docs.select(held(others).alias("row"), F.col(f"`{text}`").alias("text"), *keys)
     joined = base.join(hits, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("version") == F.col("of_version")), "left")
-    df = joined.select("row", "hits", F.col(f"row.`{text}`").alias("text"))
-    df = df.select("row", "text", once(F.when(F.col("hits").isNotNull(), F.split("text", "\n", -1))).alias("lines"), once(_chunks(F.col("hits"))).alias("chunks"))
+    df = joined.select("row", "text", once(F.when(F.col("hits").isNotNull(), F.split("text", "\n", -1))).alias("lines"), once(_chunks(F.col("hits"))).alias("chunks"))
     df = df.select("*", once(F.transform("lines", _content)).alias("content"))
 
     def whole(chunk: Column) -> Column:
@@ -128,7 +128,8 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", removed
     df = df.select("*", once(kept).alias("kept"))
     some = F.coalesce(F.size("gone") > 0, F.lit(False))
     rest = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
-    columns = released(df, "row", {text: F.when(some, rest).otherwise(F.col(f"row.`{text}`"))})
+    new = F.when(some, rest).otherwise(F.col("text")).alias(text)
+    columns = [new if name == text else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
     if removed:
         columns.append(F.when(some, F.size("lines") - F.size("kept")).otherwise(0).cast("long").alias(removed))
     return df.select(*columns)
