@@ -1,18 +1,33 @@
 """Streams give what the batch gives, batch after batch and after a replay."""
 
+import os
 from datetime import datetime, timezone
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, rows
-from tidemark.domain import KEYS, bronze_schema
+from tidemark.domain import KEYS, LOG_SCHEMA, bronze_schema
 from tidemark.functions.envelope import envelope
 from tidemark.plans import alerts, live
 from tidemark.sources.log import read_log, write_log
+from tidemark.sources.offsets import LogReader, stream_log
 from tidemark.streaming import alerts as alert_stream
 from tidemark.streaming import jobs
-from tidemark.streaming.sinks import append_batch, finish, fold_batch, merge_batch, read_appended, read_merged, read_newest
+from tidemark.streaming.sinks import (
+    AT_ONCE,
+    append_batch,
+    drain,
+    finish,
+    fold_batch,
+    merge_batch,
+    read_appended,
+    read_merged,
+    read_newest,
+)
+
+T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
 def orders(*statuses, first=0):
@@ -117,24 +132,92 @@ def test_late_lines_are_added_to_their_minutes(spark, tmp_path):
     assert jobs.read_minutes(spark, root, kept=60).count() == 1
 
 
-def test_readings_out_of_order_do_not_alert_twice(spark, tmp_path):
-    log, root = str(tmp_path / "log"), str(tmp_path)
-    for offset, stock in ((100, 3), (50, 20), (120, 4)):
-        write_log(make_log(spark, "inventory", [change("u", after={"product_id": 1, "stock_qty": stock}, ts_ms=offset)], first=offset), log)
-    stream = read_log(spark, log, ["inventory"], streaming=True, maxFilesPerTrigger="1")
-    finish(alert_stream.raise_alerts(stream, root, every=None))
-    batch = alerts.stock_alerts(alerts.stock_readings(read_log(spark, log, ["inventory"])))
-    assert rows(alert_stream.read_alerts(spark, root)) == rows(batch) and batch.count() == 1
+def inventory(spark, log, records, files=None):
+    """Readings (offset, product, stock) as a log; with ``files``, one append per part in that order."""
+    for part in files or [records]:
+        rows = [("inventory", o % 2, o, T0, str(o), change("u", after={"product_id": p, "stock_qty": q}, ts_ms=o)) for o, p, q in part]
+        write_log(spark.createDataFrame(rows, LOG_SCHEMA), log)
+
+
+def alerted(spark, log, root, records=1000):
+    stream = stream_log(spark, log, ["inventory"], alert_stream.checkpoint(root), records=records)
+    drain(alert_stream.raise_alerts(stream, root, every=AT_ONCE))
+    return rows(alert_stream.read_alerts(spark, root))
 
 
-def test_alert_stream_remembers_across_batches(spark, tmp_path):
+def batch_alerts(spark, log):
+    return rows(alerts.stock_alerts(alerts.stock_readings(read_log(spark, log, ["inventory"]))))
+
+
+def test_alerts_do_not_depend_on_the_order_of_files(spark, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path)
     chance = np.random.default_rng(5)
-    data = [(int(p), int(q)) for p, q in zip(chance.integers(0, 4, 90), chance.integers(5, 15, 90))]
-    values = [change("u", after={"product_id": p, "stock_qty": q}, ts_ms=i) for i, (p, q) in enumerate(data)]
-    for part in range(3):
-        write_log(make_log(spark, "inventory", values[part * 30 : part * 30 + 30], first=part * 30), log)
+    # A product's readings stay in one partition: even products in partition 0.
+    records = [(2 * i + p % 2, p, int(chance.integers(5, 15))) for i, p in enumerate(map(int, chance.integers(0, 6, 300)))]
+    parts = [records[i : i + 50] for i in range(0, 300, 50)]
+    inventory(spark, log, records, files=parts[::-1])
+    files = sorted(Path(log).rglob("*.parquet"))
+    for i, file in enumerate(reversed(files)):
+        os.utime(file, (1_000_000 + i, 1_000_000 + i))
+    assert alerted(spark, log, root, records=70) == batch_alerts(spark, log)
+    assert len(list(Path(root, "ops/stock_alerts").glob("batch_id=*"))) >= 4
+    assert alert_stream.late_readings(spark, root).count() == 0
+
+
+def test_alert_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    chance = np.random.default_rng(6)
+    records = [(2 * i + p % 2, p, int(chance.integers(5, 15))) for i, p in enumerate(map(int, chance.integers(0, 5, 90)))]
+    for at in range(0, 90, 30):
+        inventory(spark, log, records[at : at + 30])
+        found = alerted(spark, log, root, records=25)
+    assert found == batch_alerts(spark, log) and len(found) > 5
+
+
+def test_late_readings_are_kept_apart(spark, tmp_path):
+    """A stream that does not come by offset: what arrives late changes nothing and is not lost."""
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    for offset, stock in ((100, 3), (50, 20), (120, 4)):
+        inventory(spark, log, [(offset, 2, stock)])
         stream = read_log(spark, log, ["inventory"], streaming=True)
         finish(alert_stream.raise_alerts(stream, root, every=None))
-    found = alert_stream.read_alerts(spark, root)
-    assert rows(found) == rows(alerts.stock_alerts(alerts.stock_readings(read_log(spark, log, ["inventory"]))))
+    assert [r.stock_qty for r in alert_stream.read_alerts(spark, root).collect()] == [3]
+    assert [(r.kafka_offset, r.stock_qty) for r in alert_stream.late_readings(spark, root).collect()] == [(50, 20)]
+
+
+def test_log_source_plans_by_offset(spark, tmp_path):
+    log = str(tmp_path / "log")
+    reader = lambda **more: LogReader({"path": log, "topics": "inventory", **more})
+    assert reader().latestOffset() == {}
+    inventory(spark, log, [(o, 1, o) for o in range(0, 400, 4)])
+    inventory(spark, log, [(o, 1, o) for o in range(1000, 1100)])
+    assert reader().latestOffset() == {"inventory/0": 1099, "inventory/1": 1100}
+    assert reader(start="latest").initialOffset() == {"inventory/0": 1099, "inventory/1": 1100}
+    some = reader(records="40")
+    position, seen, batches = {}, [], 0
+    while (end := some.latestOffset()) != position:
+        got = [o for part in some.partitions(position, end) for batch in some.read(part) for o in batch.column("offset").to_pylist()]
+        assert 1 <= len(got) <= 45
+        seen, position, batches = seen + got, end, batches + 1
+    assert sorted(seen) == [*range(0, 400, 4), *range(1000, 1100)] and batches >= 5
+    for key in (0, 1):  # each partition in its order
+        own = [o for o in seen if o % 2 == key]
+        assert own == sorted(own)
+
+
+def test_log_source_leaves_out_what_is_not_committed(spark, tmp_path):
+    log = str(tmp_path / "log")
+    inventory(spark, log, [(0, 1, 1)])
+    marker = Path(log, "_SUCCESS").stat().st_mtime
+    inventory(spark, log, [(2, 1, 1)])
+    os.utime(Path(log, "_SUCCESS"), (marker, marker))
+    assert LogReader({"path": log}).latestOffset() == {"inventory/0": 1}
+
+
+def test_readings_of_many_products_in_one_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(alert_stream, "BUCKETS", 2)
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    chance = np.random.default_rng(7)
+    records = [(2 * i + p % 2, p, int(chance.integers(5, 15))) for i, p in enumerate(map(int, chance.integers(0, 60, 900)))]
+    inventory(spark, log, records)
+    assert alerted(spark, log, root, records=200) == batch_alerts(spark, log)

@@ -37,23 +37,11 @@ def alert_rows(low_readings: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def falls(readings: DataFrame, threshold: int, memory: DataFrame | None = None) -> DataFrame:
-    """Readings that are low while the one before was not. ``readings`` is read twice.
-
-    ``memory`` (product_id, was_low, last_offset) stands in for the reading before a
-    product's first. A reading from before the remembered one comes too late to count.
-    """
-    if memory is not None:
-        late = F.col("kafka_offset") <= F.col("last_offset")
-        readings = readings.join(memory.select("product_id", "last_offset"), "product_id", "left")
-        readings = readings.where(~F.coalesce(late, F.lit(False))).drop("last_offset")
+def falls(readings: DataFrame, threshold: int) -> DataFrame:
+    """Readings that are low while the one before was not. ``readings`` is read twice."""
     low = readings.withColumn("is_low", F.col("stock_qty") < threshold)
     edges = previous(low, "product_id", ["kafka_offset"], "is_low", "low_before")
-    candidates = edges.where(F.col("is_low") & ~F.coalesce("low_before", F.lit(False)))
-    if memory is None:
-        return candidates
-    known = candidates.join(memory.drop("last_offset"), "product_id", "left")
-    return known.where(~F.coalesce("low_before", "was_low", F.lit(False)))
+    return edges.where(F.col("is_low") & ~F.coalesce("low_before", F.lit(False)))
 
 
 def stock_alerts(readings: DataFrame, threshold: int = LOW_STOCK) -> DataFrame:

@@ -16,11 +16,11 @@ from tidemark.operators.state import latest_by_key, soft_delete, stage, staged,
 from tidemark.plans import alerts, analyses, checks, core, incremental, live, marts, refresh, surface
 from tidemark.session import scratch
 from tidemark.sources import changelog
-from tidemark.sources.log import read_log
+from tidemark.sources.offsets import stream_log
 from tidemark.sources.tables import read_table
 from tidemark.streaming import alerts as alert_stream
 from tidemark.streaming import jobs
-from tidemark.streaming.sinks import finish
+from tidemark.streaming.sinks import AT_ONCE, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -368,15 +368,18 @@ def stock_alerts(at: Lake) -> DataFrame:
 
 # --- streams, run over the whole log to its end -------------------------------------
 
-#: Rate limit: a file of the log per micro-batch. Each topic has three files or more.
-ONE_FILE = {"maxFilesPerTrigger": "1"}
+#: Rate limit: records of a topic per micro-batch.
+BATCH = 250_000
 
 
 @query
 def bronze_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    logs = {entity: read_log(at.spark, at.log_path(entity), topics=[entity], streaming=True, **ONE_FILE) for entity in KEYS}
-    finish(*jobs.ingest(logs, root, every=None))
+    logs = {
+        entity: stream_log(at.spark, at.log_path(entity), [entity], jobs.bronze_checkpoint(root, entity), records=BATCH)
+        for entity in KEYS
+    }
+    drain(*jobs.ingest(logs, root, every=AT_ONCE))
     counts = [
         jobs.read_bronze(at.spark, root, entity)
         .groupBy("op")
@@ -393,28 +396,28 @@ def bronze_stream(at: Lake) -> DataFrame:
 @query
 def live_metrics_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path(*KEYS), topics=KEYS, streaming=True, maxFilesPerTrigger="10")
+    log = stream_log(at.spark, at.log_path(*KEYS), tuple(KEYS), f"{root}/checkpoints/metrics", records=4 * BATCH)
 
     def known(buyers: DataFrame) -> DataFrame:
         return stage(at.bronze("users").join(buyers, "user_id", "left_semi"), "users", "city")
 
-    finish(jobs.live_counters(log, known, root, every=None))
+    drain(jobs.live_counters(log, known, root, every=AT_ONCE))
     return jobs.read_metrics(at.spark, root)
 
 
 @query
 def trending_minute_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path("order_items"), topics=["order_items"], streaming=True, **ONE_FILE)
-    finish(jobs.trending_minutes(log, root, every=None))
+    log = stream_log(at.spark, at.log_path("order_items"), ["order_items"], f"{root}/checkpoints/minutes", records=BATCH)
+    drain(jobs.trending_minutes(log, root, every=AT_ONCE))
     return jobs.read_minutes(at.spark, root)
 
 
 @query
 def stock_alerts_stream(at: Lake) -> DataFrame:
     root = scratch(at.spark, "stream")
-    log = read_log(at.spark, at.log_path(INVENTORY), topics=[INVENTORY], streaming=True, **ONE_FILE)
-    finish(alert_stream.raise_alerts(log, root, every=None))
+    log = stream_log(at.spark, at.log_path(INVENTORY), [INVENTORY], alert_stream.checkpoint(root), records=BATCH)
+    drain(alert_stream.raise_alerts(log, root, every=AT_ONCE))
     return alert_stream.read_alerts(at.spark, root)
 
 
