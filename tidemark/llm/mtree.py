@@ -11,7 +11,7 @@ pages of at most :data:`PAGE` entries. Each node has a routing object, a coverin
 its distance to the parent's routing object; each entry of a leaf has its distance to the
 leaf's. A node or entry is left out without computing a distance where the triangle inequality
 over the stored distances shows that it is farther than the k-th best; nodes are visited in
-order of their least possible distance, until that exceeds the k-th best.
+order of their least possible distance, as long as that does not exceed the k-th best.
 
 Queries go over the index in blocks of about :data:`BLOCK`, one job for each; a task keeps the
 best of its subtrees for each query of the block. Each query starts with the k-th best score
@@ -267,38 +267,34 @@ def _read(row: dict, most: float, exact: bool) -> _Page:
 
 
 class Search:
-    """The best ``k`` of a block of queries among the subtrees seen so far."""
+    """The best ``k`` of a block of queries among the subtrees seen so far. The queries go down together: a
+    node is visited once, for those of them that its bound does not exclude, and scored as one product."""
 
     def __init__(self, queries: list[tuple[int, list[int], float | int]], pivots: np.ndarray, most: float, exact: bool, k: int):
         self.ids = [q[0] for q in queries]
         x = np.array([q[1] for q in queries], np.int64)
         self.points = points(x, most)._replace(more=np.zeros(len(x)))
         self.exact = self.points.x if exact else x.astype(object)
-        self.least = [q[2] for q in queries]
+        self.least = np.array([q[2] for q in queries], np.float64 if exact else object)
         self.best: list[list[tuple[int, int]]] = [[] for _ in queries]
-        self.most, self.is_exact, self.k = most, exact, k
+        self.most, self.k = most, k
         self.slack = margin(most)
-        self.reach = [self._reach(i) for i in range(len(queries))]
+        #: Per query the distance beyond which no row can be among its best.
+        self.reach = np.array([self._reach(i) for i in range(len(queries))])
         self.pivots = points(pivots, most)
         self.to_pivots = distances(self.points, self.pivots)
         self.computed = self.spared = 0
 
     def _reach(self, i: int) -> float:
-        """The distance beyond which no row can be among the best of query ``i``."""
         if self.least[i] == float("-inf"):
             return float("inf")
         return max(self.points.squares[i] + self.most - 2 * float(self.least[i]), 0) ** 0.5 + self.slack
 
-    def _score(self, i: int, page: _Page, rows: np.ndarray) -> None:
-        scores = page.exact[rows] @ self.exact[i]
-        high = np.flatnonzero(scores >= self.least[i])
-        if not len(high):
-            return
+    def _take(self, i: int, scores: np.ndarray, page: _Page, rows: np.ndarray) -> None:
         best = self.best[i]
-        for j in high.tolist():
-            row, score = rows[j], int(scores[j])
+        for row, score in zip(rows.tolist(), scores.tolist()):
             own = page.ids[page.starts[row] : page.starts[row + 1]].tolist()
-            best.extend((-score, id) for id in own if id != self.ids[i])
+            best.extend((-int(score), id) for id in own if id != self.ids[i])
         best.sort()
         del best[self.k :]
         if len(best) == self.k and -best[-1][0] > self.least[i]:
@@ -306,49 +302,60 @@ class Search:
             self.reach[i] = self._reach(i)
 
     def look(self, pages: list[_Page]) -> None:
-        """Best-first over the nodes of some subtrees, for each query of the block."""
-        roots = []
-        for page in pages:
+        """Best-first over the nodes of some subtrees: the next node is the one with the least possible
+        distance to any query that still needs it."""
+        heap: list[tuple] = []
+        serial = 0
+
+        def push(p: int, node: int, asking: np.ndarray, away: np.ndarray) -> None:
+            nonlocal serial
+            bound = np.maximum(away - pages[p].tree.radius[node], 0)
+            near = bound <= self.reach[asking]
+            if near.any():
+                serial += 1
+                heapq.heappush(heap, (bound[near].min(), serial, p, node, asking[near], away[near]))
+
+        for p, page in enumerate(pages):
             root = page.found.take([page.tree.routing[0]])
             up = distances(self.pivots.take([page.cell]), root)[0, 0]
             # By the stored distance alone; the distance itself is computed only for those that remain.
             bound = np.abs(self.to_pivots[:, page.cell] - up) - page.tree.radius[0]
-            near = np.flatnonzero(bound <= np.array(self.reach))
-            away = np.full(len(self.ids), np.inf)
+            near = np.flatnonzero(bound <= self.reach)
             if len(near):
-                away[near] = distances(self.points.take(near), root)[:, 0]
-            roots.append(away)
-        for i in range(len(self.ids)):
-            heap = []
-            for p, away in enumerate(roots):
-                if np.isfinite(away[i]):
-                    heapq.heappush(heap, (max(away[i] - pages[p].tree.radius[0], 0), p, 0, away[i]))
-            self._descend(i, heap, pages)
-
-    def _descend(self, i: int, heap: list, pages: list[_Page]) -> None:
-        query = self.points.take([i])
+                push(p, 0, near, distances(self.points.take(near), root)[:, 0])
         while heap:
-            bound, p, node, away = heapq.heappop(heap)
-            if bound > self.reach[i]:
-                return
+            _, _, p, node, asking, away = heapq.heappop(heap)
             page, tree = pages[p], pages[p].tree
+            still = np.maximum(away - tree.radius[node], 0) <= self.reach[asking]
+            asking, away = asking[still], away[still]
+            if not len(asking):
+                continue
             first, stop = int(tree.first[node]), int(tree.stop[node])
             if tree.leaf[node]:
-                near = first + np.flatnonzero(np.abs(tree.to_leaf[first:stop] - away) <= self.reach[i])
-                self.computed += len(near)
-                self.spared += stop - first - len(near)
-                if len(near):
-                    self._score(i, page, near)
+                self._score(page, first, stop, asking, away)
                 continue
-            below = np.abs(tree.to_parent[first:stop] - away) - tree.radius[first:stop]
-            children = first + np.flatnonzero(below <= self.reach[i])
-            if not len(children):
-                continue
-            aways = distances(query, page.found.take(tree.routing[children]))[0]
-            bounds = np.maximum(aways - tree.radius[children], 0)
-            for child, to, least in zip(children.tolist(), aways.tolist(), bounds.tolist()):
-                if least <= self.reach[i]:
-                    heapq.heappush(heap, (least, p, child, to))
+            below = np.abs(tree.to_parent[first:stop, None] - away) - tree.radius[first:stop, None]
+            needed = below <= self.reach[asking]
+            children = first + np.flatnonzero(needed.any(axis=1))
+            if len(children):
+                aways = distances(page.found.take(tree.routing[children]), self.points.take(asking))
+                for child, to in zip(children.tolist(), aways):
+                    wanted = needed[child - first]
+                    push(p, child, asking[wanted], to[wanted])
+
+    def _score(self, page: _Page, first: int, stop: int, asking: np.ndarray, away: np.ndarray) -> None:
+        needed = np.abs(page.tree.to_leaf[first:stop, None] - away) <= self.reach[asking]
+        rows, columns = first + np.flatnonzero(needed.any(axis=1)), np.flatnonzero(needed.any(axis=0))
+        self.computed += len(rows) * len(columns)
+        self.spared += needed.size - len(rows) * len(columns)
+        if not len(rows):
+            return
+        asking = asking[columns]
+        scores = self.exact[asking] @ page.exact[rows].T
+        high = scores >= self.least[asking][:, None]
+        for i in np.flatnonzero(high.any(axis=1)).tolist():
+            own = np.flatnonzero(high[i])
+            self._take(int(asking[i]), scores[i, own], page, rows[own])
 
     def found(self) -> pa.RecordBatch:
         flat = [(i, id, -score) for i, best in enumerate(self.best) for score, id in best]
