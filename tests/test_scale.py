@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, rows
-from tidemark.functions.envelope import envelope
+from tidemark.functions.envelope import MONTH, envelope
 from tidemark.lake import lake, write_bronze
 from tidemark.operators.assign import weighted_assignment
 from tidemark.operators.state import stage, staged
@@ -107,7 +107,7 @@ def test_a_broken_increment_loses_nothing(spark, tmp_path, monkeypatch):
     bronze = spark.read.parquet(str(tmp_path / "bronze"))
     path, mark = str(tmp_path / "state"), 65 * day
     before = envelope(make_log(spark, "orders", first), "order_id")
-    incremental.write_state(before, "orders", path, shards=8)
+    incremental.write_state(before, "orders", path, shard_rows=100)
     want = rows(staged(incremental.read_state(spark, path), "orders"))
 
     def lost(*_):
@@ -159,3 +159,50 @@ def test_catalog_bronze_holds_what_is_landed(spark):
     for entity in ("orders", "users", "order_items"):
         table = spark.table(f"{at.prefix}bronze.{entity}")
         assert table.count() == at.bronze(entity).count() > 0 and "commit_month" not in table.columns
+
+
+def _orders(spark, first, last, lsn=1):
+    """Bronze with a row for each order of a range."""
+    after = F.to_json(F.struct(F.col("id").alias("order_id"), F.lit(1).alias("user_id"), F.lit("PAID").alias("status")))
+    return spark.range(first, last).select(
+        F.lit("c").alias("op"), F.lit(lsn).cast("bigint").alias("lsn"), F.lit(1000 * lsn).cast("bigint").alias("ts_ms"),
+        F.col("id").alias("kafka_offset"), F.lit(0).alias("kafka_partition"), F.col("id").alias("order_id"), after.alias("raw_payload"),
+        F.lit("1970-01-01").cast("date").alias(MONTH),
+    )
+
+
+def _ids(df):
+    return sorted(r.order_id for r in df.select("order_id").collect())
+
+
+def test_building_a_state_twice_loses_no_rows(spark, tmp_path):
+    path, bronze = str(tmp_path / "state"), _orders(spark, 0, 40)
+    for _ in range(2):
+        incremental.write_state(bronze, "orders", path, shard_rows=10)
+    assert _ids(incremental.read_state(spark, path)) == list(range(40))
+    more = bronze.unionByName(_orders(spark, 30, 50, lsn=2))
+    state = incremental.apply_changes(spark, more, "orders", path, mark_ms=2000, shard_rows=10)
+    assert _ids(state) == list(range(50))
+    assert {r.lsn for r in state.where("order_id >= 30").collect()} == {2}
+
+
+def test_a_rebuild_over_a_newer_state_takes_effect(spark, tmp_path):
+    path = str(tmp_path / "state")
+    incremental.write_state(_orders(spark, 0, 40), "orders", path, shard_rows=10)
+    incremental.apply_changes(spark, _orders(spark, 40, 50, lsn=2), "orders", path, mark_ms=0, shard_rows=10)
+    incremental.write_state(_orders(spark, 0, 4), "orders", path)
+    assert _ids(incremental.read_state(spark, path)) == list(range(4))
+
+
+def test_shards_split_as_the_state_grows(spark, tmp_path):
+    path, most = str(tmp_path / "state"), 64
+    incremental.write_state(_orders(spark, 0, 30), "orders", path, shard_rows=most)
+    assert [r.n for r in incremental.newest(spark, path).collect()] == [30]
+    for lsn, (first, last) in enumerate(((0, 300), (300, 3000), (2990, 3000)), 2):
+        state = incremental.apply_changes(spark, _orders(spark, first, last, lsn), "orders", path, 1000 * lsn, shard_rows=most)
+        assert _ids(state) == list(range(last))
+    shards = incremental.newest(spark, path).collect()
+    assert sum(s.n for s in shards) == 3000 and max(s.n for s in shards) <= 1.5 * most and len(shards) >= 3000 / most
+    assert sum(2.0 ** -s.bits for s in shards) == 1.0
+    # The last increment wrote the shards of ten orders and no others.
+    assert 1 <= sum(s.source == 3 for s in shards) <= 20 < len(shards)
