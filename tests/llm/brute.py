@@ -6,10 +6,15 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from functools import cache
 
+import numpy as np
+import pyarrow as pa
 import regex
 
+from tidemark.llm import fingerprints as imatch
 from tidemark.llm import near_dups, secrets
+from tidemark.llm.words import FOLD, find_words, mix
 
 
 def enough(lines: list[str]) -> bool:
@@ -109,3 +114,35 @@ def search_distance(item: str, text: str) -> int:
         for j, y in enumerate(text, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return min(row)
+
+
+@cache
+def _scrambled(x: int) -> int:
+    return int(mix(np.array([x % 2**64], dtype=np.uint64))[0])
+
+
+def _distinct_words(text: str) -> set[str]:
+    return {"".join(c.lower() if c.isascii() else c for c in word) for word in re.split("[\t\n\v\f\r ]+", text) if word}
+
+
+def fingerprints(corpus: list[str], texts: list[str]) -> list[list[int]]:
+    """I-Match values of ``texts`` by the lexicon of ``corpus``, one subset after the other."""
+    df = Counter(word for text in corpus for word in _distinct_words(text))
+    known = sorted({*df, *(word for text in texts for word in _distinct_words(text))})
+    hashed = dict(zip(known, find_words(pa.array(known), FOLD).hashes.tolist(), strict=True))
+    least, most = math.floor(len(corpus) ** (1 - imatch.BAND[1])), math.ceil(len(corpus) ** (1 - imatch.BAND[0]))
+    places = {hashed[word] >> 64 - imatch.BITS for word, n in df.items() if least <= n <= most}
+    made = []
+    for text in texts:
+        terms = sorted(hashed[word] for word in _distinct_words(text))
+        terms = [t for t in terms if t >> 64 - imatch.BITS in places] or terms
+        draws = [[_scrambled(t + 0x9E3779B97F4A7C15 * (subset + 1)) for t in terms] for subset in range(imatch.SUBSETS)]
+        subsets = [[d for d in drawn if d < 2 ** (64 - depth)] for depth in imatch.DEPTHS for drawn in draws]
+        subsets.append(terms)
+        made.append([max(_scrambled(sum(map(_scrambled, s))) >> 48, 1) if s else 0 for s in subsets])
+    return made
+
+
+def likeness(a: list[int], b: list[int]) -> float:
+    some = [(x, y) for x, y in zip(a, b, strict=True) if x or y][: imatch.COMPARED]
+    return sum(x == y for x, y in some) / len(some) if some else 1.0

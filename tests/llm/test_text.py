@@ -9,6 +9,7 @@ from conftest import FOLDER
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import brute
 from tidemark.llm import chat, fingerprints, html_text, queries
 from tidemark.llm.template import Template, TemplateError
 
@@ -121,15 +122,27 @@ def test_fingerprints_of_edited_texts(spark):
     got = queries.op7_fingerprints(spark, FOLDER).toPandas().set_index("doc_id")
     rows = docs.toPandas().sort_values("doc_id")
     ids, texts = rows.doc_id.tolist(), rows.text.tolist()
-    for i, (id, text) in enumerate(zip(ids, texts)):
-        after, k = texts[(i + 1) % len(ids)], len(text) // 4
-        edited = text[: len(text) - k] + after[:k]
-        assert got.edited_sha256[id] == hashlib.sha256(edited.encode()).hexdigest() and got.n_chars[id] == len(text)
-        other = got.fingerprint[ids[(i + 1) % len(ids)]]
-        for name, value in (("near_edited", got.edited_fingerprint[id]), ("near_next", other)):
-            same = [value[j : j + 8] == got.fingerprint[id][j : j + 8] for j in range(0, 8 * fingerprints.FAMILIES, 8)]
-            assert got[name][id] == sum(same) / fingerprints.FAMILIES
-    assert got.near_edited.mean() > 0.4 and got.near_next.mean() < 0.05
+    edited = [edit_plainly(text, texts[(i + 1) % len(texts)]) for i, text in enumerate(texts)]
+    prints, edited_prints = brute.fingerprints(texts, texts), brute.fingerprints(texts, edited)
+    for i, id in enumerate(ids):
+        assert got.edited_sha256[id] == hashlib.sha256(edited[i].encode()).hexdigest() and got.n_chars[id] == len(texts[i])
+        assert got.fingerprint[id] == "".join(f"{v:04x}" for v in prints[i])
+        assert got.edited_fingerprint[id] == "".join(f"{v:04x}" for v in edited_prints[i])
+        assert got.near_edited[id] == brute.likeness(prints[i], edited_prints[i])
+        assert got.near_next[id] == brute.likeness(prints[i], prints[(i + 1) % len(ids)])
+    assert got.near_edited.mean() > 0.4 and got.near_next.mean() < 0.1
+    assert (got.near_edited > got.near_next).mean() > 0.9
+
+
+def edit_plainly(text, after):
+    quarter = len(text) // 4
+    return text[: len(text) - quarter] + after[:quarter]
+
+
+def test_the_table_of_the_lexicon_has_one_size(spark):
+    for n in (3, 300):
+        df = spark.createDataFrame([(i, f"a{i % 40} b{i % 7}") for i in range(n)], "doc_id long, text string")
+        assert fingerprints.lexicon(df).nbytes == 1 << (fingerprints.BITS - 3)
 
 
 def test_fingerprint_edges(spark):

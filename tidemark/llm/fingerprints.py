@@ -1,22 +1,24 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
 The lexicon holds terms whose normalised inverse document frequency, ln(N/df) / ln N, lies
-in :data:`BAND`: neither the words of most documents nor the rarest. Document frequencies
-are those of 64-bit term hashes, counted over all documents; the lexicon is the exact set of
-terms in the band and grows with the distinct terms of the corpus.
-
-:data:`FAMILIES` families of random subsets of the lexicon are nested: a term is in the
-subset of depth d with probability 2^-d. Of each family a document uses the sparsest subset
-that still holds one of its terms. Its distinct terms are sorted, those in the subset kept,
-and hashed together: :data:`FAMILIES` values, the fingerprint. Two documents agree in a value
-if the few terms that decide it are in both, whatever else differs. The likeness of two
-fingerprints is the share of values that agree.
+in :data:`BAND`: neither the words of many documents nor rare ones. Document frequencies are
+those of 64-bit term hashes, counted over all documents. Tasks get the lexicon as a table of
+2^:data:`BITS` bits, one for each value of a term's first bits: its size is fixed, and the share
+of terms outside the band that it takes for terms within is at most that of bits set, the number
+of terms in the band over 2^:data:`BITS`.
+
+The lexicon and :data:`SUBSETS` random subsets of it, of each of the densities 2^-d, d in
+:data:`DEPTHS`, are fixed for all documents. A fingerprint has a value for each: a document's
+distinct terms that are in the subset, sorted, are hashed together. Values are 16-bit, and 0
+means that the document has no term in the subset. Dense subsets tell small changes, sparse
+ones find what large changes leave. The likeness of two fingerprints is the share of equal
+values among the :data:`COMPARED` sparsest subsets in which either has a term.
 
 Defined results: a document without terms in the band uses all its terms; one without
-words has the fingerprint of the empty set; equal texts have equal fingerprints. The next
-document is that of the next larger id (ties: by the text's hash; after the last the
-first; alone: itself); rows with the same id and text are one document and each give the same
-row; a null id comes last.
+words has the fingerprint of the empty set, as like as can be to another such and unlike all
+others; equal texts have equal fingerprints. The next document is that of the next larger id
+(ties: by the text's hash; after the last the first; alone: itself); rows with the same id and
+text are one document and each give the same row; a null id comes last.
 """
 
 from __future__ import annotations
@@ -30,16 +32,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from tidemark.llm.common import BATCH_ROWS, map_text, slices, written
 from tidemark.llm.words import FOLD, Words, find_words, mix
 
 #: Terms that a task counts before it passes them on.
 TASK_TERMS = 1 << 18
-BAND = (0.2, 0.9)
-FAMILIES = 32
-_DEPTHS = np.array([16 - int(i).bit_length() for i in range(1 << 16)], dtype=np.uint8)
+BAND = (0.2, 0.7)
+#: First bits of a term's hash that the table of the lexicon goes by: 16 MB, however large the corpus.
+BITS = 27
+#: Random subsets of each density, and the densities' negative logarithms, from sparse to dense.
+SUBSETS = 16
+DEPTHS = (12, 10, 8, 6, 4, 2)
+#: Values of a fingerprint: the last is that of the whole lexicon.
+VALUES = SUBSETS * len(DEPTHS) + 1
+COMPARED = 16
 
 
 def _terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -52,11 +60,16 @@ def _terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return owner[first], terms[first]
 
 
+def _places(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word and bit of each term in the table of the lexicon."""
+    place = terms >> np.uint64(64 - BITS)
+    return (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
+
+
 def _within(terms: np.ndarray, kept: np.ndarray) -> np.ndarray:
-    """Whether each of ``terms`` is in the sorted lexicon ``kept``."""
-    if not len(kept):
-        return np.zeros(len(terms), dtype=bool)
-    return kept[np.minimum(np.searchsorted(kept, terms), len(kept) - 1)] == terms
+    """Whether each of ``terms`` is in the lexicon, by its table ``kept``."""
+    word, bit = _places(terms)
+    return (kept[word] >> bit) & np.uint64(1) == 1
 
 
 def _summed(terms: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -65,10 +78,11 @@ def _summed(terms: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def lexicon(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The terms in the lexicon, sorted.
+    """The table of the lexicon.
 
     Frequencies are summed in the map tasks, which hold :data:`TASK_TERMS` terms or so at a time,
-    and then by a grouping; the driver gets the terms in the band, eight bytes each.
+    and then by a grouping. Bits are put together by another: the driver gets the table's words
+    that are not zero, 2^(:data:`BITS` - 6) at most.
     """
 
     def counted(terms: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -100,35 +114,56 @@ def lexicon(docs: DataFrame, text: str = "text") -> np.ndarray:
     total = max((counts.where("term is null").first() or {"n": 1})["n"], 1)
     least, most = (total ** (1 - share) for share in reversed(BAND))
     within = counts.where(F.col("term").isNotNull() & (F.col("n") >= math.floor(least)) & (F.col("n") <= math.ceil(most)))
-    return np.sort(within.select("term").toArrow().column("term").to_numpy().view(np.uint64))
+    place = F.shiftrightunsigned("term", 64 - BITS)
+    word, bit = F.shiftright(place, 6), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(term, {64 - BITS}) & 63 AS INT))")
+    words = within.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return table
 
 
 def values(texts: pa.Array, kept: np.ndarray) -> np.ndarray:
-    """The fingerprints of the texts: one row of :data:`FAMILIES` numbers for each."""
-    made = np.zeros((len(texts), FAMILIES), dtype=np.uint32)
+    """The fingerprints of the texts: one row of :data:`VALUES` numbers for each."""
+    made = np.zeros((len(texts), VALUES), dtype=np.uint16)
     owner, terms = _terms(find_words(texts, FOLD))
     chosen = _within(terms, kept)
     some = np.bincount(owner[chosen], minlength=len(texts)) > 0
     use = chosen | ~some[owner]
     owner, terms = owner[use], terms[use]
+    _hash_sets(made[:, -1], owner, terms)
+    for subset in range(SUBSETS):
+        with np.errstate(over="ignore"):
+            drawn = mix(terms + np.uint64(0x9E3779B97F4A7C15 * (subset + 1) % 2**64))
+        # A subset's terms are those whose draw begins with so many zeros; denser ones hold sparser ones.
+        in_owner, in_drawn = owner, drawn
+        for depth, at in sorted((depth, at) for at, depth in enumerate(DEPTHS)):
+            inside = in_drawn >> np.uint64(64 - depth) == 0
+            in_owner, in_drawn = in_owner[inside], in_drawn[inside]
+            _hash_sets(made[:, at * SUBSETS + subset], in_owner, in_drawn)
+    return made
+
+
+def _hash_sets(made: np.ndarray, owner: np.ndarray, terms: np.ndarray) -> None:
+    """Put a hash of the terms of each text, which are sorted and distinct, into ``made``."""
     if not len(terms):
-        return made
+        return
     firsts = np.flatnonzero(np.diff(owner, prepend=-1))
-    present = owner[firsts]
-    run = np.cumsum(np.diff(owner, prepend=owner[0]) > 0)
+    # The sum of the sorted terms, scrambled one by one, is their set's hash, taken for all texts at once.
     with np.errstate(over="ignore"):
-        for family in range(FAMILIES):
-            drawn = mix(terms + np.uint64(0x9E3779B97F4A7C15 * (family + 1) % 2**64))
-            depth = _DEPTHS[(drawn >> np.uint64(48)).astype(np.int64)]
-            deepest = np.maximum.reduceat(depth, firsts)
-            inside = depth == deepest[run]
-            total = np.add.reduceat(np.where(inside, mix(drawn), np.uint64(0)), firsts)
-            made[present, family] = (mix(total) >> np.uint64(32)).astype(np.uint32)
-    return made
+        total = mix(np.add.reduceat(mix(terms), firsts))
+    made[owner[firsts]] = np.maximum(total >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How like the fingerprints in the rows of ``a`` are to those of ``b``."""
+    either = (a > 0) | (b > 0)
+    counted = either & (np.cumsum(either, axis=1) <= COMPARED)
+    n = counted.sum(axis=1)
+    return np.where(n > 0, ((a == b) & counted).sum(axis=1) / np.maximum(n, 1), 1.0)
 
 
 def fingerprints(docs: DataFrame, kept: np.ndarray, columns: dict[str, str]) -> DataFrame:
-    """``docs`` with a fingerprint (big-endian 32-bit numbers) for each of the text columns
+    """``docs`` with a fingerprint (big-endian 16-bit numbers) for each of the text columns
     ``columns``, under the name given for it; the texts themselves are left out."""
     texts = list(columns)
     names = [name for name in docs.columns if name not in texts]
@@ -143,14 +178,12 @@ def fingerprints(docs: DataFrame, kept: np.ndarray, columns: dict[str, str]) ->
 
 
 def _packed(rows: np.ndarray) -> pa.Array:
-    data, width = rows.astype(">u4").tobytes(), 4 * FAMILIES
+    data, width = rows.astype(">u2").tobytes(), 2 * VALUES
     return pa.array([data[i : i + width] for i in range(0, len(data), width)], pa.binary())
 
 
-def likeness(a: str, b: str):
-    """Share of equal numbers in two fingerprints."""
-    same = [F.when(F.substring(a, 4 * i + 1, 4) == F.substring(b, 4 * i + 1, 4), 1).otherwise(0) for i in range(FAMILIES)]
-    return sum(same[1:], same[0]) / F.lit(float(FAMILIES))
+def _unpacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=">u2").reshape(-1, VALUES)
 
 
 def edit(text: str, after: str) -> str:
@@ -167,7 +200,7 @@ class Document(NamedTuple):
 
 _ROW = (
     "part long, first boolean, last boolean, id long, copies long, n_chars long, edited_sha256 string, "
-    "fingerprint binary, edited_fingerprint binary, next_fingerprint binary, text string"
+    "fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
 )
 _ROW_NAMES = [field.split()[0] for field in _ROW.split(", ")]
 
@@ -176,11 +209,11 @@ def _rows(part: int, first: bool, docs: list[Document], after: Document | None,
     """A row for each of ``docs``, each followed by the next and the last by ``after``; without
     it the last row stays open. A partition's first and last rows keep their texts."""
     known = [*docs, after] if after else docs
-    prints = _packed(values(pa.array([d.text for d in known], pa.large_string()), kept))
+    prints = values(pa.array([d.text for d in known], pa.large_string()), kept)
     edited = [edit(d.text, n.text) for d, n in zip(known, known[1:], strict=False)]
-    edited_prints = _packed(values(pa.array(edited, pa.large_string()), kept)).to_pylist()
-    follow, none = prints.to_pylist()[1:], [None] * (len(docs) - len(edited))
-    count = len(docs)
+    edited_prints = values(pa.array(edited, pa.large_string()), kept)
+    count, done = len(docs), len(edited)
+    none = [None] * (count - done)
     ends = [after is None and i == count - 1 for i in range(count)]
     heads = [first and i == 0 for i in range(count)]
     columns = [
@@ -191,9 +224,10 @@ def _rows(part: int, first: bool, docs: list[Document], after: Document | None,
         pa.array([d.copies for d in docs], pa.int64()),
         pa.array([len(d.text) for d in docs], pa.int64()),
         pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited] + none, pa.string()),
-        prints[:count],
-        pa.array(edited_prints + none, pa.binary()),
-        pa.array(follow[:count] + none, pa.binary()),
+        _packed(prints[:count]),
+        pa.array(_packed(edited_prints).to_pylist() + none, pa.binary()),
+        pa.array(likeness(prints[:done], edited_prints).tolist() + none, pa.float64()),
+        pa.array(likeness(prints[:done], prints[1:]).tolist() + none, pa.float64()),
         pa.array([d.text if h or e else None for d, h, e in zip(docs, heads, ends, strict=True)], pa.string()),
     ]
     return pa.RecordBatch.from_arrays(columns, _ROW_NAMES)
@@ -243,16 +277,32 @@ def compare_edits(docs: DataFrame, kept: np.ndarray, id: str = "doc_id", text: s
     quarter = F.floor(F.length("text") / 4).cast("int")
     ends = made.where("last").join(lent, "part").withColumn("quarter", quarter)
     ends = ends.withColumn("edited", F.expr("concat(substring(text, 1, length(text) - quarter), substring(head, 1, quarter))"))
-    ends = ends.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited_fingerprint", "next_fingerprint", "text", "quarter")
+    ends = ends.withColumn("edited_sha256", F.sha2("edited", 256))
+    ends = ends.drop("edited_fingerprint", "near_edited", "near_next", "text", "quarter")
     ends = fingerprints(ends, kept, {"edited": "edited_fingerprint", "head": "next_fingerprint"})
-    both = made.where("not last").drop("text").unionByName(ends)
+    both = made.where("not last").drop("text").unionByName(_compared(ends))
     return both.select(
         F.col("id").alias(id),
         "n_chars",
         "edited_sha256",
         F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        "near_edited",
+        "near_next",
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     ).drop("copy")
+
+
+def _compared(ends: DataFrame) -> DataFrame:
+    """Rows with three fingerprints, and how like the first is to the others in place of the last."""
+    names = [name for name in ends.columns if name != "next_fingerprint"]
+
+    def run(batches):
+        for batch in batches:
+            own = _unpacked(batch.column("fingerprint"))
+            near = [likeness(own, _unpacked(batch.column(name))) for name in ("edited_fingerprint", "next_fingerprint")]
+            columns = [batch.column(name) for name in names] + [pa.array(n) for n in near]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "near_edited", "near_next"])
+
+    fields = [*ends.select(*names).schema.fields, *(StructField(name, DoubleType()) for name in ("near_edited", "near_next"))]
+    return ends.mapInArrow(run, StructType(fields))
