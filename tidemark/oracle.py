@@ -246,6 +246,8 @@ def oracle_sql() -> dict[str, str]:
         "core_order_items": _sql("SELECT * FROM ci", "ci"),
         "mart_daily_revenue": _sql("SELECT * FROM daily", "daily"),
         "mart_sales_by_category": _sql("SELECT * FROM cat", "cat"),
+        "mart_daily_upkeep": _sql("SELECT * FROM daily", "daily"),
+        "mart_category_upkeep": _sql("SELECT * FROM cat", "cat"),
         "order_header": _sql(
             """SELECT so.order_id, so.user_id, so.status, so.total_amount, so.created_at, su.full_name, su.city
             FROM so JOIN su USING (user_id) WHERE NOT so.is_deleted AND NOT su.is_deleted""",

@@ -13,7 +13,7 @@ from tidemark.lake import Lake, lake
 from tidemark.operators import quality
 from tidemark.operators.assign import weighted_assignment
 from tidemark.operators.state import latest_by_key, soft_delete, stage, staged, state_as_of
-from tidemark.plans import alerts, analyses, checks, core, incremental, live, marts, refresh, surface
+from tidemark.plans import alerts, analyses, checks, core, incremental, live, marts, refresh, surface, upkeep
 from tidemark.session import scratch
 from tidemark.sources import changelog
 from tidemark.sources.offsets import stream_log
@@ -166,6 +166,35 @@ def mart_sales_by_category(at: Lake) -> DataFrame:
     return marts.sales_by_category(items, at.staged("orders"))
 
 
+def _grown_state(at: Lake, entity: str) -> tuple[str, Callable[[], DataFrame]]:
+    """The state of an entity up to the cutoff, and what brings it up to date."""
+    path, bronze = scratch(at.spark, f"{entity}-state"), at.bronze(entity)
+    incremental.write_state(between(bronze, last_ms=CUTOFF_MS), entity, path)
+    return path, lambda: incremental.apply_changes(at.spark, bronze, entity, path, CUTOFF_MS)
+
+
+@query
+def mart_daily_upkeep(at: Lake) -> DataFrame:
+    """The daily mart of the cutoff, brought forward by what the later changes make different."""
+    path = scratch(at.spark, "daily")
+    orders, grow = _grown_state(at, "orders")
+    upkeep.refresh_daily(at.spark, orders, path)
+    grow()
+    return upkeep.refresh_daily(at.spark, orders, path)
+
+
+@query
+def mart_category_upkeep(at: Lake) -> DataFrame:
+    """The category mart of the cutoff, brought forward likewise, from three states."""
+    path = scratch(at.spark, "categories")
+    states = [_grown_state(at, entity) for entity in ("orders", "order_items", "products")]
+    folders = [folder for folder, _ in states]
+    upkeep.refresh_category(at.spark, *folders, path)
+    for _, grow in states:
+        grow()
+    return upkeep.refresh_category(at.spark, *folders, path)
+
+
 @query
 def order_header(at: Lake) -> DataFrame:
     return core.order_header(at.staged("orders"), at.staged("users"))
