@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tidemark.domain import CITY_WEIGHTS
 from tidemark.registry import CUTOFF_MS
-from tidemark.sources.changelog import CUT_SHORT, PATHS, WRONG_AMOUNT, WRONG_QUANTITY
+from tidemark.sources.changelog import CUT_SHORT, PARTITIONS, PATHS, WRONG_AMOUNT, WRONG_QUANTITY
 
 _PATHS = ", ".join(f"({lo}, {hi}, {list(hops)})" for lo, hi, hops in PATHS)
 _CUTS = " ".join(f"WHEN {residue} THEN {hops}" for residue, hops in CUT_SHORT)
@@ -150,12 +150,26 @@ _PARTS = {
         SELECT order_id, user_id, st AS status, amount AS total_amount, created_at, op = 'd' AS is_deleted
         FROM ev WHERE ts_ms <= {CUTOFF_MS}
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY lsn DESC) = 1)""",
+    # Commit times of every change, and the one that all partitions of all logs have reached.
+    "com": f"""com AS (
+        SELECT 'orders' AS topic, order_id AS id, ts_ms, op = 'd' AS gone FROM ev
+        UNION ALL SELECT 'order_items', order_item_id, ts_ms, FALSE FROM si
+        UNION ALL SELECT 'order_items', order_item_id, ts_ms + 60000, TRUE FROM si WHERE is_deleted
+        UNION ALL SELECT 'users', c_custkey, 788918400000, FALSE FROM customer
+        UNION ALL SELECT 'users', c_custkey, 788918400000 + (c_custkey % 2000 + 1) * 86400000, c_custkey % 50 = 9
+            FROM customer WHERE c_custkey % 10 = 4 OR c_custkey % 50 = 9
+        UNION ALL SELECT 'products', p_partkey, 788918400000, FALSE FROM part
+        UNION ALL SELECT 'products', p_partkey, 788918400000 + (p_partkey % 2000 + 1) * 86400000, FALSE
+            FROM part WHERE p_partkey % 40 = 7)""",
+    "common": f"""common AS (
+        SELECT min(newest) AS cut FROM (SELECT max(ts_ms) AS newest FROM com GROUP BY topic, id % {PARTITIONS}))""",
 }
 _NEEDS = {
     "paths": (), "life": ("paths",), "ord": ("life",), "so": ("ord",), "ev": ("ord",), "su": (), "sp": (), "ln": (),
     "si": ("ln", "ord"), "co": ("so", "su"), "ci": ("si", "sp"), "daily": ("co",), "cat": ("ci", "so"), "fo": ("so",), "fd": ("fo",),
     "dl": ("ev",), "sums": ("dl",), "city": ("ord", "su"), "seen": ("ev", "si"), "met": ("sums", "city", "seen"),
     "mi": ("ln",), "top": ("mi", "sp", "si", "ev"), "st": ("ln",), "fall": ("st",), "cut_ord": ("ev",),
+    "com": ("ev", "si"), "common": ("com",),
 }
 
 
@@ -224,6 +238,21 @@ def oracle_sql() -> dict[str, str]:
         "stg_orders_asof": _sql(
             "SELECT order_id, user_id, status, total_amount, created_at, is_deleted FROM cut_ord", "cut_ord"
         ),
+        "cut_tables": _sql(
+            """SELECT topic AS table_name, count(*) AS n, CAST(sum(gone) AS BIGINT) AS deleted,
+                CAST(sum(CASE WHEN topic = 'order_items' AND created_ms > cut THEN 1 ELSE 0 END) AS BIGINT) AS waiting
+            FROM (SELECT topic, id, cut, CAST(max(gone::INT) AS BIGINT) AS gone FROM com, common WHERE ts_ms <= cut GROUP BY 1, 2, 3) kept
+            LEFT JOIN (SELECT order_item_id, created_ms FROM si JOIN ord USING (order_id)) line
+                ON topic = 'order_items' AND order_item_id = id
+            GROUP BY 1""",
+            "common",
+        ),
+        "cut_order_items": _sql(
+            f"""SELECT si.order_item_id, si.order_id, si.product_id, si.quantity, si.unit_price,
+                si.is_deleted AND si.ts_ms + 60000 <= cut_ms AS is_deleted, created_ms > cut_ms AS is_waiting
+            FROM si JOIN ord USING (order_id), (SELECT least(cut, {CUTOFF_MS}) AS cut_ms FROM common) WHERE si.ts_ms <= cut_ms""",
+            "common",
+        ),
         "late_column": _sql(
             "SELECT priority, count(*) AS n, count(DISTINCT order_id) AS orders FROM ev GROUP BY 1", "ev"
         ),

@@ -13,7 +13,7 @@ from tidemark.lake import Lake, lake
 from tidemark.operators import quality
 from tidemark.operators.assign import weighted_assignment
 from tidemark.operators.state import latest_by_key, soft_delete, stage, staged, state_as_of
-from tidemark.plans import alerts, analyses, checks, core, incremental, live, marts, refresh, surface, upkeep
+from tidemark.plans import alerts, analyses, checks, core, cut, incremental, live, marts, refresh, surface, upkeep
 from tidemark.session import scratch
 from tidemark.sources import changelog
 from tidemark.sources.offsets import stream_log
@@ -93,6 +93,18 @@ def stg_orders_asof(at: Lake) -> DataFrame:
     return state_as_of(at.bronze("orders"), "orders", CUTOFF_MS)
 
 
+@query
+def cut_tables(at: Lake) -> DataFrame:
+    """Rows of the four tables at the newest commit time that all their logs have reached."""
+    return cut.cut_counts({entity: at.bronze(entity) for entity in KEYS})
+
+
+@query
+def cut_order_items(at: Lake) -> DataFrame:
+    """Lines at the cutoff, or before where a log has not come so far; those without an order apart."""
+    return cut.consistent_cut({entity: at.bronze(entity) for entity in KEYS}, CUTOFF_MS)["order_items"]
+
+
 @query
 def stg_orders_redelivered(at: Lake) -> DataFrame:
     """Latest state from a log in which records arrive more than once."""
