@@ -2,19 +2,23 @@
 
 A plain window puts a whole key into one task. Here each key's history is cut into
 segments by an order-preserving expression (a range of log positions), the window runs
-inside the segments, and one summary row per segment carries the value across them.
-Tasks then hold a segment, or the summaries of one key, never its full history.
+inside the segments, and one summary row per segment carries the value across them. The
+summaries of a key are cut in the same way, into groups of segments with one summary each,
+so that a task holds a segment, a group of summaries or the groups of a key. With positions
+that count bytes, a segment is a megabyte of log and a group of segments a terabyte.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
+
 def landed(df: DataFrame) -> DataFrame:
     """``df`` as a table: both the rows and the summaries of their segments are read from it,
     so what stands below, a log and its parsing, is read once."""
@@ -31,21 +35,40 @@ def segment_of(position: str, bits: int = SEGMENT_BITS) -> Column:
     return F.shiftright(F.coalesce(F.col(position), F.lit(0)).cast("bigint"), bits)
 
 
-def _with_carry(
-    df: DataFrame, key: str, summary: Column, carry: Column, before: DataFrame
-) -> DataFrame:
-    """Join each segment with ``carry`` taken over the summaries of earlier segments."""
-    totals = before.groupBy(key, "_segment").agg(summary.alias("_total"))
-    earlier = totals.select(key, "_segment", carry.alias("_carry"))
+class _Fold(NamedTuple):
+    """How ``_total`` of earlier rows becomes one value: over a window, over a group of which
+    ``order`` is the order, and of what is nearer with what lies before it."""
+
+    over: Callable[[WindowSpec], Column]
+    group: Callable[[str], Column]
+    both: Callable[[Column, Column], Column]
+
+
+_SUM = _Fold(
+    lambda window: F.sum("_total").over(window),
+    lambda order: F.sum("_total"),
+    lambda near, far: F.coalesce(near, F.lit(0)) + F.coalesce(far, F.lit(0)),
+)
+_LAST = _Fold(
+    lambda window: F.last("_total", ignorenulls=True).over(window),
+    lambda order: F.max_by("_total", F.when(F.col("_total").isNotNull(), F.col(order))),
+    F.coalesce,
+)
+
+
+def _with_carry(df: DataFrame, key: str, totals: DataFrame, fold: _Fold, bits: int) -> DataFrame:
+    """Join each segment with ``_carry``: ``fold`` of the totals of the key's earlier segments."""
+    grouped = totals.withColumn("_group", F.shiftright("_segment", bits))
+    near = grouped.select(key, "_segment", "_group", fold.over(_earlier("_segment", key, "_group")).alias("_near"))
+    groups = grouped.groupBy(key, "_group").agg(fold.group("_segment").alias("_total"))
+    far = groups.select(key, "_group", fold.over(_earlier("_group", key)).alias("_far"))
+    carry = fold.both(F.col("_near"), F.col("_far")).alias("_carry")
+    earlier = near.join(far, [key, "_group"], "left").select(key, "_segment", carry)
     return df.join(earlier, [key, "_segment"], "left")
 
 
-def _earlier(key: str) -> Window:
-    return (
-        Window.partitionBy(key)
-        .orderBy("_segment")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def _earlier(order: str, *keys: str) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_sum(
@@ -55,7 +78,8 @@ def running_sum(
     cut = df.withColumn("_segment", segment_of(order[0], bits))
     inside = Window.partitionBy(key, "_segment").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumn("_local", F.sum(value).over(inside))
-    joined = _with_carry(local, key, F.sum(value), F.sum("_total").over(_earlier(key)), cut)
+    totals = cut.groupBy(key, "_segment").agg(F.sum(value).alias("_total"))
+    joined = _with_carry(local, key, totals, _SUM, bits)
     total = F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0))
     return joined.withColumn(name, total).drop("_segment", "_local", "_carry")
 
@@ -70,13 +94,8 @@ def previous(
     local = cut.withColumn("_local", F.lag(F.struct(value)).over(inside))
     # By a single column this aggregates in a hash table, without sorting.
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    joined = _with_carry(
-        local,
-        key,
-        F.struct(F.max_by(value, position).alias(value)),
-        F.last("_total").over(_earlier(key)),
-        cut,
-    )
+    totals = cut.groupBy(key, "_segment").agg(F.struct(F.max_by(value, position).alias(value)).alias("_total"))
+    joined = _with_carry(local, key, totals, _LAST, bits)
     return joined.withColumn(name, F.coalesce("_local", "_carry")[value]).drop("_segment", "_local", "_carry")
 
 
@@ -88,11 +107,6 @@ def carry_forward(
     inside = Window.partitionBy(key, "_segment").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
     position = F.when(F.col(value).isNotNull(), F.struct(*order))
-    joined = _with_carry(
-        local,
-        key,
-        F.max_by(value, position),
-        F.last("_total", ignorenulls=True).over(_earlier(key)),
-        cut,
-    )
+    totals = cut.groupBy(key, "_segment").agg(F.max_by(value, position).alias("_total"))
+    joined = _with_carry(local, key, totals, _LAST, bits)
     return joined.withColumn(name, F.coalesce("_local", "_carry")).drop("_segment", "_local", "_carry")
