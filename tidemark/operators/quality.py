@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_PER_COLUMN = ("not_null", "accepted_values")
+
+
 @dataclass(frozen=True)
 class Check:
     """One check on a column; with the defaults any violation is an error."""
@@ -44,14 +47,12 @@ def column_checks(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """
     failures = []
     for check in checks:
-        column = F.col(check.column)
-        bad = column.isNull() if check.kind == "not_null" else ~column.isin(*check.values)
         failure = F.struct(
             F.lit(check.name).alias("name"),
             F.lit(check.kind == "not_null").alias("by_row"),
-            column.cast("string").alias("value"),
+            F.col(check.column).cast("string").alias("value"),
         )
-        failures.append(F.when(bad, failure))
+        failures.append(F.when(_bad(check), failure))
     found = df.select(F.explode(F.filter(F.array(*failures), lambda f: f.isNotNull())).alias("f")).select("f.*")
     values = found.groupBy("name", "by_row", "value").agg(F.count(F.lit(1)).alias("n"))
     return values.groupBy("name").agg(
@@ -59,6 +60,25 @@ def column_checks(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     )
 
 
+def _bad(check: Check) -> Column:
+    column = F.col(check.column)
+    return column.isNull() if check.kind == "not_null" else ~column.isin(*check.values)
+
+
+def observed(df: DataFrame, checks: Iterable[Check], rules: dict[str, Column] | None = None) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the failing rows of its column checks counted by the very job that writes it.
+
+    ``rules`` adds assertions about single rows, by check name. The counts stand in the
+    observation once the job is done. Counted at the top of the plan, in the tasks of its last
+    stage, of which each partition's result is taken once, a repeated task changes nothing.
+    """
+    failing = {c.name: _bad(c) for c in checks if c.kind in _PER_COLUMN} | (rules or {})
+    if not failing:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(bad).alias(name) for name, bad in failing.items()]), seen
+
+
 def unique(df: DataFrame, check: Check) -> DataFrame:
     """Number of key values that occur more than once; nulls are left to not-null."""
     keys = df.where(F.col(check.column).isNotNull()).groupBy(check.column).agg(F.count(F.lit(1)).alias("n"))
@@ -122,19 +142,29 @@ def assertion(name: str, violators: DataFrame) -> DataFrame:
     return violators.agg(*_named(name, F.count(F.lit(1))))
 
 
-def report(spark: SparkSession, checks: Iterable[Check], tables: dict[str, DataFrame], violators: dict[str, DataFrame]) -> DataFrame:
+def report(
+    spark: SparkSession,
+    checks: Iterable[Check],
+    tables: dict[str, DataFrame],
+    violators: dict[str, DataFrame],
+    counted: dict[str, int] | None = None,
+) -> DataFrame:
     """Every check with its violations and verdict, passing ones included.
 
-    ``violators`` maps the name of an assertion check to its query.
+    ``violators`` maps the name of an assertion check to its query. ``counted`` has failing rows
+    by check name, from :func:`observed`; what it settles is not looked for in the tables
+    again. It does not settle an accepted-values check with failures, which counts distinct values.
     """
-    checks = list(checks)
-    results = []
-    for table in dict.fromkeys(c.table for c in checks):
-        per_column = [c for c in checks if c.table == table and c.kind in ("not_null", "accepted_values")]
+    checks, counted = list(checks), counted or {}
+    settled = {c.name: counted[c.name] for c in checks if c.name in counted and (c.kind != "accepted_values" or not counted[c.name])}
+    results = [spark.createDataFrame(list(settled.items()), "name string, violations bigint")]
+    open_checks = [c for c in checks if c.name not in settled]
+    for table in dict.fromkeys(c.table for c in open_checks):
+        per_column = [c for c in open_checks if c.table == table and c.kind in _PER_COLUMN]
         if per_column:
             results.append(column_checks(tables[table], per_column))
-    results.extend(key_checks(tables, [c for c in checks if c.kind in ("unique", "relationships")]))
-    results.extend(assertion(c.name, violators[c.name]) for c in checks if c.kind == "assertion")
+    results.extend(key_checks(tables, [c for c in open_checks if c.kind in ("unique", "relationships")]))
+    results.extend(assertion(c.name, violators[c.name]) for c in open_checks if c.kind == "assertion")
     found = results[0]
     for other in results[1:]:
         found = found.unionByName(other)

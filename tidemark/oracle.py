@@ -447,6 +447,7 @@ def oracle_sql() -> dict[str, str]:
             "ev", "si",
         ),
         "dq_report": _report(None),
+        "refresh_job": _report(None),
         "dq_not_null": _report("not_null"),
         "dq_accepted_values": _sql(
             """SELECT 'accepted_values:stg_orders.status' AS name, count(DISTINCT status) AS violations

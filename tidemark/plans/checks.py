@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.domain import KEYS, RECONCILE_TOLERANCE, STATUSES
@@ -76,20 +76,33 @@ CHECKS = (
 )
 
 
+#: Assertions about single rows of a mart: rows for which these hold break them.
+ROW_RULES = {
+    "category_non_negative": "total_quantity < 0 or total_revenue < 0",
+    "daily_counts": "cancelled_orders > total_orders or unique_customers > total_orders",
+    "daily_non_negative": "total_revenue < 0",
+}
+
+
+def row_rules(table: str) -> dict[str, Column]:
+    """The assertions about single rows of ``table``, by check name."""
+    return {f"assertion:{t}.{name}": F.expr(ROW_RULES[name]) for t, name in _ASSERTIONS if t == table and name in ROW_RULES}
+
+
 def category_non_negative(by_category: DataFrame) -> DataFrame:
-    return by_category.where("total_quantity < 0 or total_revenue < 0").select(
+    return by_category.where(ROW_RULES["category_non_negative"]).select(
         "category", "total_quantity", "total_revenue"
     )
 
 
 def daily_counts(daily: DataFrame) -> DataFrame:
-    return daily.where("cancelled_orders > total_orders or unique_customers > total_orders").select(
+    return daily.where(ROW_RULES["daily_counts"]).select(
         "order_date", "total_orders", "cancelled_orders", "unique_customers"
     )
 
 
 def daily_non_negative(daily: DataFrame) -> DataFrame:
-    return daily.where("total_revenue < 0").select("order_date", "total_revenue")
+    return daily.where(ROW_RULES["daily_non_negative"]).select("order_date", "total_revenue")
 
 
 def revenue_reconciliation(daily: DataFrame, orders: DataFrame, only_active: bool = False) -> DataFrame:
@@ -109,7 +122,13 @@ def revenue_reconciliation(daily: DataFrame, orders: DataFrame, only_active: boo
     )
 
 
-def dq_report(spark: SparkSession, tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS) -> DataFrame:
+def dq_report(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    checks: tuple[Check, ...] = CHECKS,
+    counted: dict[str, int] | None = None,
+) -> DataFrame:
+    """Every declared check; ``counted`` has what the writes of the tables have counted already."""
     daily, category = tables["mart_daily_revenue"], tables["mart_sales_by_category"]
     violators = {
         "assertion:mart_sales_by_category.category_non_negative": category_non_negative(category),
@@ -117,4 +136,4 @@ def dq_report(spark: SparkSession, tables: dict[str, DataFrame], checks: tuple[C
         "assertion:mart_daily_revenue.daily_non_negative": daily_non_negative(daily),
         "assertion:mart_daily_revenue.revenue_reconciliation": revenue_reconciliation(daily, tables["core_orders"]),
     }
-    return report(spark, checks, tables, violators)
+    return report(spark, checks, tables, violators, counted)

@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.domain import ALERT_SCHEMA, KEYS, bronze_schema
+from tidemark.operators.quality import observed
 from tidemark.operators.state import stage
-from tidemark.plans.checks import dq_report
+from tidemark.plans.checks import CHECKS, dq_report, row_rules
 from tidemark.plans.core import core_order_items, core_orders
 from tidemark.plans.dictionary import data_dictionary
 from tidemark.plans.marts import daily_revenue, sales_by_category
@@ -73,13 +74,17 @@ def refresh(
     """
     create_namespaces(spark, root, prefix)
     tables = {f"bronze.{entity}": df for entity, df in bronze.items()}
+    counted: dict[str, int] = {}
 
     def build(layer: str, name: str, plan) -> None:
-        tables[name] = (
-            replace_table(spark, plan(), f"{prefix}{layer}.{name}", root)
-            if layer in layers
-            else spark.table(f"{prefix}{layer}.{name}")
-        )
+        full = f"{prefix}{layer}.{name}"
+        if layer not in layers:
+            tables[name] = spark.table(full)
+            return
+        # Checks of single rows are counted while the rows are written, and not read for again.
+        watched, seen = observed(plan(), [c for c in CHECKS if c.table == name], row_rules(name))
+        tables[name] = replace_table(spark, watched, full, root)
+        counted.update(seen.get if seen else {})
 
     for entity, df in bronze.items():
         build("staging", f"stg_{entity}", lambda: stage(df, entity))
@@ -91,7 +96,7 @@ def refresh(
     tables["data_dictionary"] = replace_table(spark, data_dictionary(spark).coalesce(1), f"{prefix}meta.data_dictionary", root)
 
     if "checks" in layers:
-        result = replace_table(spark, dq_report(spark, tables), f"{prefix}meta.dq_report", root)
+        result = replace_table(spark, dq_report(spark, tables, counted=counted), f"{prefix}meta.dq_report", root)
         tables["dq_report"] = result
         failed = result.where("verdict = 'error'").collect()  # 74 checks at most
         if failed:
