@@ -13,7 +13,7 @@ import pyarrow as pa
 import regex
 
 from tidemark.llm import fingerprints as imatch
-from tidemark.llm import near_dups, secrets
+from tidemark.llm import near_dups, quality, secrets
 from tidemark.llm.words import FOLD, find_words, mix
 
 
@@ -146,3 +146,29 @@ def fingerprints(corpus: list[str], texts: list[str]) -> list[list[int]]:
 def likeness(a: list[int], b: list[int]) -> float:
     some = [(x, y) for x, y in zip(a, b, strict=True) if x or y][: imatch.COMPARED]
     return sum(x == y for x, y in some) / len(some) if some else 1.0
+
+
+def ftrl(rows: list[dict[int, float]], labels: list[int]) -> tuple[dict[int, float], float]:
+    """Weights and intercept by the update of each coordinate on its own; the intercept has no penalty."""
+    z: dict = defaultdict(float)
+    n: dict = defaultdict(float)
+
+    def weight(at) -> float:
+        if at is None:
+            return -z[at] / ((quality.BETA + math.sqrt(n[at])) / quality.ALPHA)
+        if abs(z[at]) <= quality.L1:
+            return 0.0
+        shrunk = z[at] - math.copysign(quality.L1, z[at])
+        return -shrunk / ((quality.BETA + math.sqrt(n[at])) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for row, label in zip(rows, labels, strict=True):
+            full = {**row, None: 1.0}
+            current = {at: weight(at) for at in full}
+            error = 1 / (1 + math.exp(-sum(current[at] * value for at, value in full.items()))) - label
+            for at, value in full.items():
+                step = error * value
+                sigma = (math.sqrt(n[at] + step**2) - math.sqrt(n[at])) / quality.ALPHA
+                z[at] += step - sigma * current[at]
+                n[at] += step**2
+    return {at: weight(at) for at in z if at is not None}, weight(None)

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import brute
 from tidemark.llm import crf, labelled, quality, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
@@ -106,3 +107,26 @@ def test_edges(spark, module):
         same = [r.p for r in got if r.doc_id == 2]
         assert same[0] == same[1]
     assert module.score(docs.limit(0), module.train(docs.limit(0), marks, label), scored="p").count() == 0
+
+
+def test_quality_scores_do_not_depend_on_neighbours():
+    chance = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in chance.integers(0, 400, chance.integers(1, 300))) for _ in range(60)]
+    model = quality.Model(chance.normal(size=1 << quality.BITS).astype(np.float32), 0.1)
+    together = model.scores(pa.array([*texts, None, *texts[::-1]]))
+    alone = [model.scores(pa.array([text]))[0] for text in texts]
+    assert together.tolist() == [*alone, model.scores(pa.array([""]))[0], *alone[::-1]]
+
+
+def test_quality_fit_equals_plain_ftrl():
+    chance = np.random.default_rng(4)
+    texts = [" ".join(f"w{i % (30 if k % 3 else 60)}" for i in chance.integers(0, 60, 20)) for k in range(80)]
+    labels = [int(k % 3 > 0) for k in range(80)]
+    x = quality.features(pa.array(texts))
+    rows = [
+        dict(zip(x.places[a:b].tolist(), x.values[a:b].tolist())) for a, b in zip(x.bounds[:-1], x.bounds[1:])
+    ]
+    weights, intercept = quality.fit(x, np.array(labels))
+    plain, plain_intercept = brute.ftrl(rows, labels)
+    assert intercept == pytest.approx(plain_intercept) and len(plain) > 30
+    assert {at: w for at, w in enumerate(weights.tolist()) if w} == pytest.approx({at: w for at, w in plain.items() if w}, rel=1e-5)
