@@ -206,3 +206,21 @@ def test_shards_split_as_the_state_grows(spark, tmp_path):
     assert sum(2.0 ** -s.bits for s in shards) == 1.0
     # The last increment wrote the shards of ten orders and no others.
     assert 1 <= sum(s.source == 3 for s in shards) <= 20 < len(shards)
+
+
+def test_logs_are_built_from_narrow_rows_in_tasks_of_few_records(spark, tmp_path, monkeypatch):
+    from conftest import FOLDER
+    from tidemark.sources import changelog
+    from tidemark.sources.log import write_log
+
+    monkeypatch.setattr(changelog, "FILE_RECORDS", 500)
+    built = changelog.orders_log(spark, FOLDER)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange rangepartitioning")
+    assert "Generate explode" in plan[:exchange] and "Generate" not in plan[exchange:]
+    write_log(built, str(tmp_path), ranged=True)
+    files = spark.read.parquet(str(tmp_path)).groupBy(F.input_file_name(), "partition").agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high"), F.count("*").alias("n")
+    ).orderBy("partition", "low").collect()
+    assert len(files) > 6 and max(r.n for r in files) < 2000
+    assert all(a.partition != b.partition or a.high < b.low for a, b in zip(files, files[1:]))
