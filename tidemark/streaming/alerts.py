@@ -22,6 +22,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Products are dealt to so many groups, each with one state value that holds a reading per product: a state
 #: value costs a round trip to the state store, and a batch has readings of very many products.
 BUCKETS = 256
+#: Tasks that hold the state of those groups. Each opens and commits a store of its own in every batch, so
+#: that with a session's many shuffle partitions a batch of few readings would cost mostly that.
+STATE_TASKS = 16
 MEMORY_SCHEMA = "products binary, low binary, offsets binary"
 FOUND_SCHEMA = "product_id bigint, stock_qty int, ts_ms bigint, kafka_offset bigint, late boolean"
 
@@ -105,7 +108,12 @@ def raise_alerts(
         .transformWithStateInPandas(FallDetector(threshold), FOUND_SCHEMA, outputMode="Append", timeMode="None")
     )
     marked = found.withColumn("threshold", F.lit(threshold))
-    return run_stream(marked, append_batch(f"{root}/ops/stock_alerts"), checkpoint(root), every=every, name="stock-alerts")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(STATE_TASKS, int(partitions)))  # a query keeps what it starts with
+    try:
+        return run_stream(marked, append_batch(f"{root}/ops/stock_alerts"), checkpoint(root), every=every, name="stock-alerts")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def checkpoint(root: str) -> str:
