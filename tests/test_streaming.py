@@ -11,6 +11,7 @@ from conftest import change, make_log, order, rows
 from tidemark.domain import KEYS, LOG_SCHEMA, bronze_schema
 from tidemark.functions.envelope import envelope
 from tidemark.plans import alerts, live
+from tidemark.sources import offsets
 from tidemark.sources.log import read_log, write_log
 from tidemark.sources.offsets import LogReader, stream_log
 from tidemark.streaming import alerts as alert_stream
@@ -221,3 +222,50 @@ def test_readings_of_many_products_in_one_state(spark, tmp_path, monkeypatch):
     records = [(2 * i + p % 2, p, int(chance.integers(5, 15))) for i, p in enumerate(map(int, chance.integers(0, 60, 900)))]
     inventory(spark, log, records)
     assert alerted(spark, log, root, records=200) == batch_alerts(spark, log)
+
+
+def test_a_backlog_is_dealt_over_few_batches(spark, tmp_path):
+    log = str(tmp_path / "log")
+    inventory(spark, log, [(o, 1, o) for o in range(600)])
+    reader = LogReader({"path": log, "topics": "inventory", "records": "10", "batches": "5"})
+    position, sizes = {}, []
+    while (end := reader.latestOffset()) != position:
+        sizes.append(sum(batch.num_rows for part in reader.partitions(position, end) for batch in reader.read(part)))
+        position = end
+    assert sum(sizes) == 600 and len(sizes) <= 6 and max(sizes) <= 125
+    capped = LogReader({"path": log, "topics": "inventory", "records": "10", "batches": "5", "most": "50"})
+    end = capped.latestOffset()
+    assert sum(batch.num_rows for part in capped.partitions({}, end) for batch in capped.read(part)) <= 55
+
+
+def test_read_tasks_are_cut_by_records_not_offsets(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    monkeypatch.setattr(offsets, "TASK_RECORDS", 50)
+    inventory(spark, log, [(o, 1, o) for o in range(0, 100_000, 1000)])
+    reader = LogReader({"path": log, "topics": "inventory"})
+    parts = reader.partitions({}, reader.latestOffset())
+    assert len(parts) <= len(reader.files) + 100 // 50
+    assert sorted(o for p in parts for b in reader.read(p) for o in b.column("offset").to_pylist()) == [*range(0, 100_000, 1000)]
+
+
+def test_alert_state_has_few_stores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(alert_stream, "STATE_TASKS", 2)
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    inventory(spark, log, [(2 * i, p, 5 + (i * 7 + p) % 10) for i, p in enumerate(list(range(40)) * 3)])
+    assert alerted(spark, log, root, records=50) == batch_alerts(spark, log)
+    stores = [d for d in Path(alert_stream.checkpoint(root), "state/0").iterdir() if d.name.isdigit()]
+    assert len(stores) == 2 and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_only_digests_at_the_places_of_a_batch_are_compared(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    values = lambda *places: live.order_changes(
+        make_log(spark, "orders", [change("c", after=order(1), lsn=lsn) for lsn in places]).withColumn("key", F.lit("1"))
+    )
+    assert jobs.new_changes(values(1, 5, None), path, 0).count() == 3
+    found = jobs.new_changes(values(5, 6, None), path, 1)
+    assert [r.lsn for r in found.collect()] == [6]
+    kept = spark.read.schema("digest string, lsn bigint, batch_id bigint, topic string").parquet(path)
+    assert sorted(r.lsn for r in kept.where((F.col("batch_id") < 1) & jobs._places(values(4, 6))).collect()) == [5]
+    assert kept.where(jobs._places(values(7, 9))).count() == 0
