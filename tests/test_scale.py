@@ -3,12 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import change, make_log, order, rows
+from conftest import FOLDER, change, make_log, order, rows
 from tidemark.functions.envelope import MONTH, envelope
 from tidemark.lake import lake, write_bronze
 from tidemark.operators.assign import weighted_assignment
 from tidemark.operators.state import stage, staged
 from tidemark.plans import analyses, core, incremental, marts, refresh
+from tidemark.sources.changelog import numbered_lines
 
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -143,6 +144,12 @@ def test_histories_are_read_and_parsed_once(spark):
         assert "user_id" not in registry.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
 
 
+def test_lines_are_numbered_where_they_lie(spark, small_partitions):
+    """The start of each sort partition goes to the lines: they are not shuffled a second time for it."""
+    plan = numbered_lines(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_a_replaced_table_shows_its_new_columns(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS swap LOCATION '{tmp_path}/swap'")
     refresh.replace_table(spark, spark.sql("SELECT 1 AS a"), "swap.t", str(tmp_path))
