@@ -150,6 +150,13 @@ def test_lines_are_numbered_where_they_lie(spark, small_partitions):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_a_replaced_table_is_written_compactly(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS compact")
+    refresh.replace_table(spark, spark.range(3), "compact.t", str(tmp_path))
+    files = [f.name for f in tmp_path.rglob("part-*")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_a_replaced_table_shows_its_new_columns(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS swap LOCATION '{tmp_path}/swap'")
     refresh.replace_table(spark, spark.sql("SELECT 1 AS a"), "swap.t", str(tmp_path))

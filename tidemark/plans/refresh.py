@@ -44,7 +44,7 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str) -> D
     write fails. Old folders stay until the operator drops them.
     """
     path = f"{root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     written = spark.read.parquet(path)
     known = spark.table(name).schema if spark.catalog.tableExists(name) else None
     if known and [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in written.schema]:
