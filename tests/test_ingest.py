@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, rows
 from tidemark.domain import CREATE_OPS
-from tidemark.functions.envelope import drop_redelivered, envelope, extract, incomplete, quarantine
+from tidemark.functions.envelope import decode, drop_redelivered, envelope, extract, image_key, incomplete, quarantine
 from tidemark.plans.live import order_changes
 from tidemark.operators.state import entity_state, stage, staged, state_as_of, upsert
 
@@ -46,6 +46,26 @@ def test_quarantine_names_the_reason(spark):
     ]
 
 
+def test_a_leading_key_is_read_like_any_other(spark):
+    """The key is read off the front of a new image that came as an object; wherever that does not
+    apply, as the JSON function reads it."""
+    images = [
+        {"order_id": 7, "x": 1}, {"x": 1, "order_id": 7}, {"order_id": "7"}, {"order_id": 7.5}, {"order_id": -7},
+        {"order_id": 10**18}, {"order_id": 10**19}, {"order_id": None}, {"order_id": 7}, {"order_id": {"order_id": 7}},
+        {"order_ids": 7}, {}, '{"order_id":7,"x":1}', '{"order_id":7,"x', "order_id", [{"order_id": 7}],
+    ]
+    values = [change("u", {"order_id": 9}, image) for image in images] + [change("d", {"order_id": 9})]
+    values += [value.replace(": ", ":").replace(", ", ",") for value in values]
+    log = decode(make_log(spark, "orders", values))
+    plain = F.coalesce(F.get_json_object("after", "$.order_id"), F.get_json_object("before", "$.order_id")).try_cast("bigint")
+    found = log.select("kafka_offset", image_key("order_id").alias("key"), plain.alias("plain")).collect()
+    assert len(found) == len(values) and all(r.key == r.plain for r in found)
+    first = log.where("kafka_offset >= 17").select(F.regexp_extract("after", '^\\{"order_id":([0-9]+)', 1).alias("k"))
+    assert first.where("k = '7'").count() >= 2
+    plan = log.select(image_key("order_id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract") < plan.index("get_json_object")
+
+
 def test_unparsable_fields_become_null(spark):
     bad = order(1, amount="12,5", created="yesterday")
     [row] = stage(orders_bronze(spark, change("c", after=bad)), "orders").collect()
