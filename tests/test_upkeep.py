@@ -1,11 +1,14 @@
 """Marts kept up by differences against full refreshes."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from conftest import change, make_log, order, rows
 from tidemark.functions.envelope import between, envelope
 from tidemark.operators.state import stage
 from tidemark.plans import core, incremental, marts, upkeep
+from tidemark.session import CLEANUP
 
 
 def bronze_of(spark, topic, key, values):
@@ -88,3 +91,59 @@ def test_category_mart_equals_a_full_refresh_after_each_step(spark, tmp_path):
         assert got.dtypes == full.dtypes and rows(got) == rows(full)
     assert rows(upkeep.refresh_category(spark, *states.values(), path)) == rows(full)
     assert spark.read.parquet(f"{path}/pointers").agg(F.max("version")).first()[0] == 3
+
+
+def test_difference_of_increments_is_what_they_marked(spark, tmp_path):
+    bronze, state = orders_bronze(spark).cache(), str(tmp_path / "state")
+    incremental.write_state(between(bronze, last_ms=10), "orders", state, shard_rows=4)
+    for since, until in ((0, 31), (31, 33), (33, 33), (33, 50)):  # the third brings nothing new
+        incremental.apply_changes(spark, between(bronze, last_ms=until), "orders", state, since, shard_rows=4)
+    data = spark.read.parquet(f"{state}/data")
+    assert data.where("version = 3 and _mark is not null").isEmpty()
+    assert not data.where("version = 2 and _mark = -1").isEmpty()
+
+    def compared(before, after):
+        old, new = (incremental.read_state(spark, state, v) for v in (before, after))
+        came, went = new.exceptAll(old).selectExpr("*", "1L as sign"), old.exceptAll(new).selectExpr("*", "-1L as sign")
+        return rows(came.unionByName(went))
+
+    last = incremental.last_version(spark, state)
+    for before, after in ((-1, 0), (0, 1), (1, 2), (2, 3), (1, last), (0, last), (last, last)):
+        found = incremental.difference(spark, state, before, after)
+        if before >= 0:
+            assert rows(found) == compared(before, after)
+            assert after != before + 1 or "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        else:
+            assert rows(found.drop("sign")) == rows(incremental.read_state(spark, state, after))
+    incremental.write_state(between(bronze, last_ms=33), "orders", state, shard_rows=4)  # a full build marks nothing
+    for before in (0, last):
+        assert rows(incremental.difference(spark, state, before, last + 1)) == compared(before, last + 1)
+
+
+def test_a_change_at_the_position_of_the_state_is_not_new(spark, tmp_path):
+    state = str(tmp_path / "state")
+    bronze = bronze_of(spark, "orders", "order_id", [change("c", after=order(i, "PAID"), lsn=i, ts_ms=i) for i in range(1, 9)])
+    incremental.write_state(bronze, "orders", state, shard_rows=4)
+    incremental.apply_changes(spark, bronze, "orders", state, 5, shard_rows=4)
+    assert rows(incremental.difference(spark, state, 0, 1)) == []
+    assert incremental.read_state(spark, state).count() == sum(s.n for s in incremental.newest(spark, state).collect()) == 8
+
+
+def test_landed_tables_leave_no_shuffle_files(spark):
+    from tidemark.operators.scans import landed
+
+    def shuffled():
+        return {str(b) for b in _blocks(spark) if str(b).startswith("shuffle_")}
+
+    before = shuffled()
+    kept = landed(spark.range(1000).repartition(3, "id"))
+    deadline = time.time() + 20
+    while (left := shuffled() - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left and kept.count() == 1000
+    assert spark.conf.get(CLEANUP, None) in (None, "false")
+
+
+def _blocks(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return [blocks.apply(i) for i in range(blocks.length())]
