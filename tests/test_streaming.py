@@ -269,3 +269,44 @@ def test_only_digests_at_the_places_of_a_batch_are_compared(spark, tmp_path):
     kept = spark.read.schema("digest string, lsn bigint, batch_id bigint, topic string").parquet(path)
     assert sorted(r.lsn for r in kept.where((F.col("batch_id") < 1) & jobs._places(values(4, 6))).collect()) == [5]
     assert kept.where(jobs._places(values(7, 9))).count() == 0
+
+
+def test_a_batch_is_neither_sorted_nor_shuffled_to_leave_out_what_came_before(spark, tmp_path, monkeypatch):
+    log, root = str(tmp_path / "log"), str(tmp_path)
+    users = spark.createDataFrame([(1, "Izmir", False)], "user_id bigint, city string, is_deleted boolean")
+    values = orders("CREATED", "PAID", "PAID", "CREATED")
+    for i, part in enumerate((values[:3], values[2:] + orders("PAID", first=7))):
+        write_log(make_log(spark, "orders", part, first=10 * i).withColumn("key", F.get_json_object("value", "$.payload.after.order_id")), log)
+    plans, settled = {}, jobs.settled
+
+    def spy(df, path):
+        plans.setdefault(os.path.basename(path), []).append(df._jdf.queryExecution().executedPlan().toString())
+        return settled(df, path)
+
+    monkeypatch.setattr(jobs, "settled", spy)
+    stream = read_log(spark, log, ["orders"], streaming=True, maxFilesPerTrigger="1")
+    finish(jobs.live_counters(stream, lambda buyers: users, root, every=None))
+    found = {(r.metric, r.key): int(r.value) for r in jobs.read_metrics(spark, root).collect()}
+    assert found["orders_total", ""] == 5 and found["orders_status", "PAID"] == 3
+    assert all("SortAggregate" not in plan for plan in plans["changes"])
+    assert len(plans["sums"]) == 2 and all("SortMergeJoin" not in plan and "sha2" not in plan for plan in plans["sums"])
+    assert spark.read.parquet(f"{root}/seen_again").count() == 1
+
+
+def test_copies_among_many_others_are_left_out(spark, tmp_path):
+    path = str(tmp_path / "seen")
+
+    def batch(places, topic="orders"):
+        made = make_log(spark, topic, [change("c", after=order(1), lsn=lsn) for lsn in places]).withColumn("key", F.lit("1"))
+        return jobs.with_digests(live.order_changes(made))
+
+    places = [range(0, 50), range(40, 90), [None, 45, 89, 200], [None, 10, 200, 300]]
+    known = set()
+    for number, own in enumerate(places):
+        for _ in range(2):  # a repeated batch finds the same
+            found = jobs.new_changes(batch(own), path, number)
+            assert "digest" not in found.columns
+            assert {r.lsn for r in found.collect()} == set(own) - known
+        known |= set(own)
+    assert spark.read.parquet(path).count() == len(known)
+    assert jobs.new_changes(batch([45], "users"), path, len(places)).count() == 1  # another topic's place
